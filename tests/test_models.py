@@ -1,0 +1,160 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmart.functions.calendar import add_local_columns
+from gridmart.operators import hourly
+from gridmart.plans.models import build_models, register_views, store_hourly
+from gridmart.schemas import PRODUCTION_TYPES
+from gridmart.sources import tables
+from samples import utc
+
+
+def generation(spark, *points):
+    """points: (instant, mw, zone, code)"""
+    rows = [
+        (utc(s).replace(tzinfo=dt.timezone.utc), mw, zone, code, PRODUCTION_TYPES.get(code, "Unknown"))
+        for s, mw, zone, code in points
+    ]
+    frame = spark.createDataFrame(
+        rows,
+        "delivery_start_utc timestamp, generation_mw double, bidding_zone string, psr_type string,"
+        " production_type string",
+    ).withColumns({"unit": F.lit("MAW"), "resolution": F.lit("PT15M")})
+    return add_local_columns(frame)
+
+
+def prices(spark, *points):
+    rows = [(utc(s).replace(tzinfo=dt.timezone.utc), p, zone) for s, p, zone in points]
+    frame = spark.createDataFrame(
+        rows, "delivery_start_utc timestamp, price_eur_mwh double, bidding_zone string"
+    ).withColumns(
+        {
+            "currency": F.lit("EUR"),
+            "unit": F.lit("MWH"),
+            "resolution": F.lit("PT15M"),
+            "revision_number": F.lit(1),
+            "published_at_utc": F.lit(None).cast("timestamp"),
+        }
+    )
+    return add_local_columns(frame)
+
+
+def by_hour(frame):
+    return {(r.bidding_zone, r.hour_start_utc.replace(tzinfo=None)): r for r in frame.collect()}
+
+
+@pytest.fixture(scope="module")
+def models(spark):
+    codes = {"B01": 1.0, "B03": 2.0, "B04": 4.0, "B05": 8.0, "B06": 16.0, "B10": 32.0,
+             "B11": 64.0, "B12": 128.0, "B16": 256.0, "B19": 512.0, "B20": 1024.0, "B25": 2048.0,
+             "B99": 4096.0}
+    all_types = [("2026-01-05T10:00", mw, "A", code) for code, mw in codes.items()]
+    two_points = [("2026-01-05T11:00", 10.0, "A", "B16"), ("2026-01-05T11:45", 20.0, "A", "B16"),
+                  ("2026-01-05T11:30", None, "A", "B16"), ("2026-01-05T11:15", 5.0, "A", "B04")]
+    zero = [("2026-01-05T12:00", 0.0, "A", "B16")]
+    no_price = [("2026-01-05T13:00", 1.0, "A", "B16"), ("2026-01-05T10:00", 1.0, None, "B16")]
+    price = [("2026-01-05T10:00", 50.0, "A"), ("2026-01-05T10:15", -70.0, "A"),
+             ("2026-01-05T11:00", 1.0, "A"), ("2026-01-05T12:00", 2.0, "A"),
+             ("2026-01-05T14:00", 3.0, "A"), ("2026-01-05T10:00", 3.0, None)]
+    return build_models(
+        generation(spark, *all_types, *two_points, *zero, *no_price), prices(spark, *price)
+    )
+
+
+def test_hourly_generation(models):
+    rows = models["int_hourly_generation"].filter("hour(hour_start_utc) = 11").collect()
+    got = {r.psr_type: tuple(r)[4:] for r in rows}
+    assert got == {"B16": (15.0, 10.0, 20.0, 3), "B04": (5.0, 5.0, 5.0, 1)}
+
+
+def test_hourly_prices(models):
+    row = by_hour(models["int_hourly_prices"])["A", utc("2026-01-05T10:00")]
+    assert tuple(row)[2:] == (-10.0, -70.0, 50.0, 2)
+
+
+def test_join_keeps_hours_on_both_sides_only(models):
+    hours = {(r.bidding_zone, r.hour_start_utc.hour) for r in models["hourly_generation_prices"].collect()}
+    assert hours == {("A", 10), ("A", 11), ("A", 12)}
+
+
+def test_analysis(models):
+    rows = by_hour(models["hourly_energy_analysis"])
+    full = rows["A", utc("2026-01-05T10:00")]
+    assert full.total_generation_mw == 8191.0
+    assert full.renewable_generation_mw == 1.0 + 64 + 128 + 256 + 512
+    assert full.renewable_share == 961 / 8191
+    assert (full.solar_mw, full.wind_onshore_mw, full.hydro_mw) == (256.0, 512.0, 192.0)
+    assert (full.fossil_generation_mw, full.fossil_gas_mw) == (30.0, 4.0)
+    assert (full.average_price_eur_mwh, full.minimum_price_eur_mwh, full.maximum_price_eur_mwh) == (
+        -10.0, -70.0, 50.0)
+    assert (full.generation_intervals_available, full.price_intervals_available) == (13, 2)
+    assert rows["A", utc("2026-01-05T12:00")].renewable_share is None
+    assert len(rows) == 3
+
+
+def test_analysis_equals_totals_of_the_joined_table(spark):
+    """Totalling before the join and after it give the same."""
+    from gridmart.sources.standin import Market
+
+    market = Market(spark, "/root/testdata/sf0.001")
+    built = build_models(market.raw_generation(), market.prices())
+    after = built["hourly_generation_prices"].groupBy("hour_start_utc", "bidding_zone").agg(
+        F.round(F.sum("average_generation_mw"), 6).alias("total"),
+        F.max("average_price_eur_mwh").alias("price"),
+        F.sum("generation_intervals_available").alias("points"),
+    )
+    before = built["hourly_energy_analysis"].select(
+        "hour_start_utc",
+        "bidding_zone",
+        F.round("total_generation_mw", 6).alias("total"),
+        F.col("average_price_eur_mwh").alias("price"),
+        F.col("generation_intervals_available").alias("points"),
+    )
+    assert before.count() > 0
+    assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+
+
+def test_hours_on_one_side(models):
+    gen, price = models["int_hourly_generation"], models["int_hourly_prices"]
+    without_price = hourly.hours_without_price(gen, price).collect()
+    assert {(r.bidding_zone, r.hour_start_utc.hour) for r in without_price} == {("A", 13), (None, 10)}
+    without_generation = hourly.hours_without_generation(gen, price).collect()
+    assert {(r.bidding_zone, r.hour_start_utc.hour) for r in without_generation} == {("A", 14), (None, 10)}
+
+
+def test_views(spark, models):
+    register_views(models)
+    assert spark.sql("SELECT * FROM hourly_energy_analysis WHERE bidding_zone = 'A'").count() == 3
+
+
+def test_sorted_points(spark):
+    frame = generation(spark, ("2026-01-05T11:00", 1.0, "A", "B16"), ("2026-01-05T10:00", 2.0, "A", "B16"),
+                       ("2026-01-05T12:00", 3.0, "A", "B04"), ("2026-01-05T09:00", 4.0, "A", None))
+    assert [r.generation_mw for r in hourly.sorted_points(frame).collect()] == [3.0, 2.0, 1.0, 4.0]
+    assert [r.generation_mw for r in hourly.first_points(frame, 2).collect()] == [3.0, 2.0]
+    price = prices(spark, ("2026-01-05T11:00", 1.0, "A"), ("2026-01-05T10:00", 2.0, "B"))
+    assert [r.price_eur_mwh for r in hourly.sorted_points(price).collect()] == [2.0, 1.0]
+
+
+def test_stored_hours_are_refreshed_by_day(spark, models, folder):
+    stored = store_hourly(models, folder)
+    before = {r.hour_start_utc: r for r in stored["hourly_energy_analysis"].collect()}
+    assert before.keys() == {r.hour_start_utc for r in models["hourly_energy_analysis"].collect()}
+
+    day = dt.date(2026, 1, 6)
+    fresh = build_models(
+        generation(spark, ("2026-01-06T10:00", 7.0, "A", "B16")),
+        prices(spark, ("2026-01-06T10:00", 9.0, "A")),
+    )
+    again = store_hourly(fresh, folder, days=[day])["hourly_energy_analysis"].collect()
+    assert len(again) == len(before) + 1
+    with pytest.raises(ValueError, match="cross local days"):
+        store_hourly(fresh, folder, days=[day], zone="Asia/Kolkata")
+
+
+def test_day_table_of_prices_declares_all_columns(spark, folder):
+    table = tables.price_table(spark, f"{folder}/prices")
+    table.create_if_absent()
+    assert table.read().columns == hourly.PRICE_COLUMNS
