@@ -10,23 +10,25 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.functions.values import otherwise_raise
+from gridmart.functions.values import or_raise
 from gridmart.schemas import DAY, DEFAULT_ZONE, START
 
-_RESOLUTION = r"\APT([0-9]+)([MH])\z"
+_RESOLUTION = r"\APT([0-9]{1,18})[MH]\z"
 _INSTANT = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][XXX]"
 _HOUR_MICROS = 3_600_000_000
 
 
+def _amount(text: Column) -> Column:
+    return F.nullif(F.regexp_extract(text, _RESOLUTION, 1), F.lit("")).cast("bigint")
+
+
 def resolution_minutes(text: Column, strict: bool = True) -> Column:
     """Minutes of a ``PT<n>M`` or ``PT<n>H`` text.
 
     Null stays null; other text raises, or gives null if not ``strict``.
     """
-    amount = F.regexp_extract(text, _RESOLUTION, 1)
-    unit = F.when(F.regexp_extract(text, _RESOLUTION, 2) == "H", 60).otherwise(1)
-    minutes = F.when(text.rlike(_RESOLUTION), amount.cast("bigint") * unit)
-    return otherwise_raise(text, minutes, "unsupported resolution: ") if strict else minutes
+    minutes = _amount(text) * F.when(F.right(text, F.lit(1)) == "H", 60).otherwise(1)
+    return or_raise(minutes, text, "unsupported resolution: ") if strict else minutes
 
 
 def resolution_interval(text: Column, strict: bool = True) -> Column:
@@ -34,6 +36,29 @@ def resolution_interval(text: Column, strict: bool = True) -> Column:
     return F.make_dt_interval(mins=resolution_minutes(text, strict).cast("int"))
 
 
+def resolution_code(text: Column) -> Column:
+    """A number for the text, another one for every other text (PT60M is not PT1H).
+
+    The smallest or largest text of a group makes Spark sort all rows; with
+    numbers it keeps to hash aggregation. Amount, length and unit say it all.
+    """
+    hours = (F.right(text, F.lit(1)) == "H").cast("bigint")
+    code = (_amount(text) * 64 + F.length(text)) * 2 + hours
+    return or_raise(code, text, "unsupported resolution: ")
+
+
+def code_minutes(code: Column) -> Column:
+    """The minutes of a resolution code."""
+    return F.shiftright(code, 7) * F.when(code % 2 == 1, 60).otherwise(1)
+
+
+def code_text(code: Column) -> Column:
+    """The text of a resolution code."""
+    digits = (F.shiftright(code, 1) % 64).cast("int") - 3
+    amount = F.lpad(F.shiftright(code, 7).cast("string"), digits, F.lit("0"))
+    return F.concat(F.lit("PT"), amount, F.when(code % 2 == 1, "H").otherwise("M"))
+
+
 def parse_instant(text: Column, strict: bool = True) -> Column:
     """ISO instant, seconds optional, ``Z`` or an offset; no offset reads as UTC."""
     if strict:

@@ -39,14 +39,13 @@ def is_number(text: Column) -> Column:
 def _number(text: Column, pattern: str, kind: str, strict: bool) -> Column:
     # A bare cast is too generous: it also reads "1d", "2f" and hexadecimal.
     value = F.when(text.rlike(pattern), F.replace(text, F.lit("_"), F.lit("")).cast(kind))
-    return otherwise_raise(text, value, f"not a valid {kind}: ") if strict else value
+    return or_raise(value, text, f"not a valid {kind}: ") if strict else value
 
 
-def otherwise_raise(text: Column, value: Column, message: str) -> Column:
+def or_raise(value: Column, text: Column, message: str) -> Column:
     """``value``, but raise if there is a text and no value came of it."""
-    return F.when(text.isNull() | value.isNotNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit(message), text))
-    )
+    error = F.raise_error(F.concat(F.lit(message), text))
+    return F.coalesce(value, F.when(text.isNotNull(), error))
 
 
 def production_type(code: Column) -> Column:

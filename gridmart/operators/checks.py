@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.functions.calendar import resolution_code
 from gridmart.functions.values import missing
 from gridmart.schemas import (
     DAY,
@@ -26,12 +27,13 @@ REQUIRED_GENERATION = [
 ]
 
 
-def failing_counts(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """One row per condition with the number of rows that meet it, in one pass."""
-    names = [f"c{number}" for number in range(len(conditions))]
-    counts = rows.agg(*[F.count_if(c).alias(n) for n, c in zip(names, conditions.values())])
-    labels = F.create_map(*[F.lit(x) for pair in zip(names, conditions) for x in pair])
-    return counts.unpivot([], names, "name", "failing_rows").select(
+def tally(rows: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """One row per count, all worked out in one pass; a count over no rows is zero."""
+    names = [f"c{number}" for number in range(len(counts))]
+    zero = F.lit(0).cast("bigint")
+    totals = rows.agg(*[F.coalesce(c, zero).alias(n) for n, c in zip(names, counts.values())])
+    labels = F.create_map(*[F.lit(x) for pair in zip(names, counts) for x in pair])
+    return totals.unpivot([], names, "name", "failing_rows").select(
         F.element_at(labels, F.col("name")).alias("rule"), "failing_rows"
     )
 
@@ -83,12 +85,13 @@ def generation_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
         condition.cast("int")
         for condition in null_conditions(points, REQUIRED_GENERATION).values()
     )
+    code = resolution_code(F.col("resolution"))
     keys = points.groupBy(*inner).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if(nulls > 0).alias("nulls"),
         *_unreadable(points),
-        F.min("resolution").alias("low"),
-        F.max("resolution").alias("high"),
+        F.min(code).alias("low"),
+        F.max(code).alias("high"),
     )
     types = keys.groupBy(*_distinct([*scope, "psr_type"])).agg(
         F.sum("copies").alias("rows"),
@@ -111,12 +114,13 @@ def price_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
     """Batch checks of prices for each value of ``scope``; a null counts in key columns only."""
     inner = _distinct([*scope, *PRICE_KEY])
     no_key = F.col("bidding_zone").isNull() | F.col("delivery_start_utc").isNull()
+    code = resolution_code(F.col("resolution"))
     keys = points.groupBy(*inner).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if(no_key).alias("nulls"),
         *_unreadable(points),
-        F.min("resolution").alias("low"),
-        F.max("resolution").alias("high"),
+        F.min(code).alias("low"),
+        F.max(code).alias("high"),
     )
     return keys.groupBy(*scope).agg(
         F.sum("copies").alias("rows"),

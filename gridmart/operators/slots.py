@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.functions.calendar import day_end, day_start, resolution_interval, resolution_minutes
+from gridmart.functions.calendar import (
+    code_minutes,
+    code_text,
+    day_end,
+    day_start,
+    resolution_code,
+)
 from gridmart.schemas import DAY, DEFAULT_ZONE, START
 
 GENERATION_DIMS = ["bidding_zone", "psr_type"]
@@ -28,18 +34,14 @@ def day_bounds(points: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     )
 
 
-def _only(low: str, high: str) -> Column:
-    """The value if smallest and largest agree, else null."""
-    return F.when(F.col(low) == F.col(high), F.col(low))
+def _code_range() -> list[Column]:
+    code = resolution_code(F.col("resolution"))
+    return [F.min(code).alias("low"), F.max(code).alias("high")]
 
 
-def day_resolutions(points: DataFrame, dims: list[str]) -> DataFrame:
-    """The single resolution of each group and day; null if there are several or none."""
-    return (
-        points.groupBy(*dims, DAY)
-        .agg(F.min("resolution").alias("low"), F.max("resolution").alias("high"))
-        .select(*dims, DAY, _only("low", "high").alias("resolution"))
-    )
+def _only_code() -> Column:
+    """The resolution code if smallest and largest agree, else null."""
+    return F.when(F.col("low") == F.col("high"), F.col("low"))
 
 
 def expected_slots(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE) -> DataFrame:
@@ -47,11 +49,14 @@ def expected_slots(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE)
 
     At most one row per minute of a day comes out of one group.
     """
-    groups = day_resolutions(points, dims).filter("resolution IS NOT NULL")
-    step = resolution_interval(F.col("resolution"))
-    start, last = day_start(F.col(DAY), zone), day_end(F.col(DAY), zone) - step
-    return groups.filter(start <= last).select(
-        *dims, DAY, F.explode(F.sequence(start, last, step)).alias(START)
+    groups = points.groupBy(*dims, DAY).agg(*_code_range())
+    minutes = code_minutes(_only_code()).cast("int")
+    step = F.make_dt_interval(mins=minutes)
+    stepped = groups.withColumn("step", step).filter("step IS NOT NULL")
+    start, end = day_start(F.col(DAY), zone), day_end(F.col(DAY), zone)
+    last = end - F.col("step")
+    return stepped.filter(start <= last).select(
+        *dims, DAY, F.explode(F.sequence(start, last, F.col("step"))).alias(START)
     )
 
 
@@ -70,32 +75,30 @@ def missing_slots(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE)
     return seen.filter(~F.col("arrived")).drop("arrived")
 
 
-def completeness(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE) -> DataFrame:
+def slot_counts(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE) -> DataFrame:
     """Rows, duplicates, expected and missing slots of each group and day.
 
     The grid is counted, never generated: a point is on it if its distance from
     local midnight is a whole number of steps.
     """
     slots = points.groupBy(*dims, DAY, START).agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.min("resolution").alias("low"),
-        F.max("resolution").alias("high"),
+        F.count(F.lit(1)).alias("copies"), *_code_range()
     )
-    step = resolution_minutes(F.col("low")) * _MINUTE_MICROS
     begin, end = (F.unix_micros(edge(F.col(DAY), zone)) for edge in (day_start, day_end))
     instant = F.unix_micros(F.col(START))
-    on_grid = ((instant - begin) % step == 0) & (instant + step <= end)
-    groups = slots.withColumn("on_grid", on_grid).groupBy(*dims, DAY).agg(
+    timed = slots.withColumn("step", code_minutes(F.col("low")) * _MINUTE_MICROS)
+    on_grid = ((instant - begin) % F.col("step") == 0) & (instant + F.col("step") <= end)
+    groups = timed.withColumn("on_grid", on_grid).groupBy(*dims, DAY).agg(
         F.sum("copies").alias("actual_rows"),
         F.sum(F.col("copies") - 1).alias("duplicate_rows"),
         F.count_if("on_grid").alias("matched"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
     )
-    group_step = resolution_minutes(F.col("resolution")) * _MINUTE_MICROS
-    expected = F.floor((end - begin) / group_step).cast("bigint")
+    step = code_minutes(_only_code()) * _MINUTE_MICROS
+    expected = F.floor((end - begin) / step).cast("bigint")
     return (
-        groups.withColumn("resolution", _only("low", "high"))
+        groups.withColumn("resolution", code_text(_only_code()))
         .withColumn("expected_slots", expected)
         .withColumn("missing_slots", F.col("expected_slots") - F.col("matched"))
         .select(
@@ -106,5 +109,11 @@ def completeness(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE) -
             "actual_rows",
             "missing_slots",
             "duplicate_rows",
+            (F.col("low") != F.col("high")).alias("mixed_resolutions"),
         )
     )
+
+
+def completeness(points: DataFrame, dims: list[str], zone: str = DEFAULT_ZONE) -> DataFrame:
+    """The report of ``slot_counts``; no resolution is shown where there are several."""
+    return slot_counts(points, dims, zone).drop("mixed_resolutions")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import checks
 from gridmart.operators.hourly import GENERATION_HOUR_KEY, HOUR_KEY, hours_without_price
-from gridmart.operators.keys import duplicate_keys, excess_rows
-from gridmart.operators.slots import GENERATION_DIMS, PRICE_DIMS, completeness
+from gridmart.operators.keys import duplicate_keys
+from gridmart.operators.slots import GENERATION_DIMS, PRICE_DIMS, slot_counts
 from gridmart.schemas import DAY, DEFAULT_ZONE, GENERATION_KEY, PRICE_KEY
 
 ERROR, WARN, REPORT = "error", "warn", "report"
@@ -75,31 +75,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _count(rows: DataFrame, rule: str, severity: str) -> DataFrame:
-    return _rule(rows.agg(F.count(F.lit(1)).alias("failing_rows")), rule, severity)
+def _null_tallies(rows: DataFrame, columns: list[str], prefix: str) -> dict[str, Column]:
+    return {
+        f"{prefix}{name}": F.count_if(condition)
+        for name, condition in checks.null_conditions(rows, columns).items()
+    }
 
 
-def _rule(counts: DataFrame, rule: str, severity: str) -> DataFrame:
-    return counts.select(
-        F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), "failing_rows"
-    )
+def _is_empty() -> Column:
+    return F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
 
 
-def _row_rules(model: str, rows: DataFrame) -> dict[str, Column]:
-    nulls = checks.null_conditions(rows, NOT_NULL[model])
-    rules = {f"not_null.{model}.{name}": condition for name, condition in nulls.items()}
-    if model in ("int_hourly_generation", "int_hourly_prices"):
-        rules[f"interval_count.{model}"] = checks.interval_count_off()
-    return rules
+def _with_severity(counts: DataFrame, severities: dict[str, str]) -> DataFrame:
+    """The counts with the severity of their rule: error, unless named here."""
+    named = F.create_map(*[F.lit(text) for pair in severities.items() for text in pair])
+    severity = F.coalesce(F.element_at(named, F.col("rule")), F.lit(ERROR))
+    return counts.select("rule", severity.alias("severity"), "failing_rows")
+
+
+# Rules that do not fail a run.
+SEVERITIES = {
+    "generation_hours_have_prices": WARN,
+    "batch.duplicate_prices": REPORT,
+    "batch.missing_generation": REPORT,
+    "batch.missing_prices": REPORT,
+}
 
 
 def not_null_counts(models: dict[str, DataFrame]) -> DataFrame:
     """Nulls per model and column, one pass over each model."""
     return _union(
         [
-            checks.failing_counts(
-                models[model], checks.null_conditions(models[model], columns)
-            ).select(
+            checks.tally(models[model], _null_tallies(models[model], columns, "")).select(
                 F.lit(model).alias("model"),
                 F.col("rule").alias("column_name"),
                 F.col("failing_rows").alias("null_rows"),
@@ -109,61 +116,59 @@ def not_null_counts(models: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def model_rules(models: dict[str, DataFrame]) -> DataFrame:
-    """The 36 model checks. All checks on single rows of a model share one pass."""
-    parts = []
-    for model in NOT_NULL:
-        rows = models[model]
-        counts = checks.failing_counts(rows, _row_rules(model, rows))
-        parts.append(counts.withColumn("severity", F.lit(ERROR)))
-        parts.append(_count(duplicate_keys(rows, UNIQUE[model]), f"unique.{model}", ERROR))
-    no_price = hours_without_price(models["int_hourly_generation"], models["int_hourly_prices"])
-    parts.append(_count(no_price, "generation_hours_have_prices", WARN))
-    return _union(parts)
-
+def _row_rules(model: str, rows: DataFrame) -> dict[str, Column]:
+    """Every rule that looks at single rows of a model, or at how many there are."""
+    rules = _null_tallies(rows, NOT_NULL[model], f"not_null.{model}.")
+    if model in ("int_hourly_generation", "int_hourly_prices"):
+        rules[f"interval_count.{model}"] = F.count_if(checks.interval_count_off())
+    if model == "stg_generation":
+        rules |= _null_tallies(rows, checks.REQUIRED_GENERATION, "batch.not_null.")
+        rules["batch.generation_rows"] = _is_empty()
+    if model == "stg_prices":
+        rules["batch.price_rows"] = _is_empty()
+    return rules
 
-def batch_rules(
-    generation: DataFrame, prices: DataFrame, zone: str = DEFAULT_ZONE
-) -> DataFrame:
-    """The checks a run makes on its batch before it loads anything."""
-    present = F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
-    nulls = checks.null_conditions(generation, checks.REQUIRED_GENERATION)
-    required = {f"batch.not_null.{name}": condition for name, condition in nulls.items()}
 
-    def missing(points: DataFrame, dims: list[str]) -> DataFrame:
-        total = F.coalesce(F.sum("missing_slots"), F.lit(0)).alias("failing_rows")
-        return completeness(points, dims, zone).agg(total)
+def _key_rules(model: str) -> dict[str, Column]:
+    """Rules over the repeated keys of a model."""
+    rules = {f"unique.{model}": F.count(F.lit(1))}
+    excess = F.sum(F.col("duplicate_count") - 1)
+    if model == "stg_generation":
+        rules["batch.duplicate_generation"] = excess
+    if model == "stg_prices":
+        rules["batch.duplicate_prices"] = excess
+    return rules
 
-    def repeated(points: DataFrame, key: list[str]) -> DataFrame:
-        return excess_rows(points, key).withColumnRenamed("duplicate_rows", "failing_rows")
 
-    return _union(
-        [
-            _rule(generation.agg(present.alias("failing_rows")), "batch.generation_rows", ERROR),
-            _rule(prices.agg(present.alias("failing_rows")), "batch.price_rows", ERROR),
-            checks.failing_counts(generation, required).withColumn("severity", F.lit(ERROR)),
-            _count(
-                checks.types_with_several_resolutions(generation),
-                "batch.one_resolution_per_type",
-                ERROR,
-            ),
-            _count(
-                checks.days_without_single_resolution(prices),
-                "batch.one_resolution_per_day",
-                ERROR,
-            ),
-            _rule(repeated(generation, GENERATION_KEY), "batch.duplicate_generation", ERROR),
-            _rule(repeated(prices, PRICE_KEY), "batch.duplicate_prices", REPORT),
-            _rule(missing(generation, GENERATION_DIMS), "batch.missing_generation", REPORT),
-            _rule(missing(prices, PRICE_DIMS), "batch.missing_prices", REPORT),
-        ]
-    )
+def rule_tallies(models: dict[str, DataFrame], zone: str = DEFAULT_ZONE) -> list[DataFrame]:
+    """All rules, with those that look at the same rows in one pass."""
+    generation, prices = models["stg_generation"], models["stg_prices"]
+    parts = []
+    for model in NOT_NULL:
+        rows = models[model]
+        parts.append(checks.tally(rows, _row_rules(model, rows)))
+        parts.append(checks.tally(duplicate_keys(rows, UNIQUE[model]), _key_rules(model)))
+    no_price = hours_without_price(models["int_hourly_generation"], models["int_hourly_prices"])
+    parts.append(checks.tally(no_price, {"generation_hours_have_prices": F.count(F.lit(1))}))
+    mixed = F.count_if(F.col("mixed_resolutions"))
+    none_or_mixed = F.count_if(F.col("resolution").isNull())
+    missing = F.sum("missing_slots")
+    for rows, dims, rules in (
+        (generation, GENERATION_DIMS, {"one_resolution_per_type": mixed, "missing_generation": missing}),
+        (prices, PRICE_DIMS, {"one_resolution_per_day": none_or_mixed, "missing_prices": missing}),
+    ):
+        days = slot_counts(rows, dims, zone)
+        parts.append(checks.tally(days, {f"batch.{name}": c for name, c in rules.items()}))
+    return parts
 
 
 def rule_summary(models: dict[str, DataFrame], zone: str = DEFAULT_ZONE) -> DataFrame:
-    """One row per rule: name, severity, failing rows (zero if it passes)."""
-    batch = batch_rules(models["stg_generation"], models["stg_prices"], zone)
-    return model_rules(models).unionByName(batch)
+    """One row per rule: name, severity, failing rows (zero if it passes).
+
+    The rules named ``batch.`` are those a run applies before it loads; the other
+    36 are the checks of the models.
+    """
+    return _with_severity(_union(rule_tallies(models, zone)), SEVERITIES)
 
 
 def outcome() -> Column:
