@@ -18,6 +18,7 @@ from gridmart.operators import checks, flatten, hourly, keys, slots
 from gridmart.operators.upsert import upsert
 from gridmart.plans import ingest, quality
 from gridmart.plans.models import build_models, store_hourly
+from gridmart.plans.pipeline import run_days
 from gridmart.schemas import (
     DAY,
     DEFAULT_ZONE,
@@ -543,3 +544,14 @@ def stream_ingest_generation(m: Market) -> DataFrame:
         m.spark, archive, path, ingest.GENERATION, DEFAULT_ZONE, checkpoint
     ).awaitTermination()
     return tables.generation_table(m.spark, path).read()
+
+
+@query
+def run_all_days(m: Market) -> DataFrame:
+    """The analysis that a run over all days of both archives leaves behind."""
+    archive, root = (new_folder(m.spark, name) for name in ("archive", "run"))
+    documents.land_documents(m.generation_documents(), f"{archive}/generation")
+    documents.land_documents(m.price_documents(), f"{archive}/prices")
+    days = dt.date(2023, 12, 31), dt.date(2024, 1, 31)
+    result = run_days(m.spark, archive, root, *days, strict=False)
+    return result.models["hourly_energy_analysis"]

@@ -556,4 +556,13 @@ ORACLE: dict[str, str] = {
             WHERE delivery_date_local = CAST(delivery_start_utc AS DATE)""",
     ),
     "stream_ingest_generation": _ALL_GEN,
+    "run_all_days": _with(
+        "gen price",
+        f""", kept AS (SELECT * FROM price
+            WHERE delivery_date_local = CAST(delivery_start_utc AS DATE)),
+        gen_hours AS ({_hourly("gen", _GEN_KEYS, "generation_mw")}),
+        kept_hours AS ({_hourly("kept", "bidding_zone", "price_eur_mwh")}),
+        joined AS ({_JOINED.format(prices="kept_hours")})
+        {_ANALYSIS}""",
+    ),
 }

@@ -23,15 +23,21 @@ class DocumentsRejected(ValueError):
 
 @dataclass(frozen=True)
 class Feed:
-    """What differs between the kinds of document."""
+    """What differs between the kinds of document.
 
+    ``name`` is the archive folder and the table of the kind.
+    """
+
+    name: str
     table: Callable[[SparkSession, str], DayTable]
     points: Callable[[DataFrame, bool], DataFrame]
     verdicts: Callable[[DataFrame, list[str]], DataFrame]
 
 
-GENERATION = Feed(generation_table, flatten.generation_points, checks.generation_verdicts)
-PRICES = Feed(price_table, flatten.price_points, checks.price_verdicts)
+GENERATION = Feed(
+    "generation", generation_table, flatten.generation_points, checks.generation_verdicts
+)
+PRICES = Feed("prices", price_table, flatten.price_points, checks.price_verdicts)
 
 
 def day_points(docs: DataFrame, feed: Feed, strict: bool, zone: str = DEFAULT_ZONE) -> DataFrame:

@@ -53,6 +53,11 @@ class DayTable:
         write_days(rows.select(*self.columns), self.path, DAY, self.key)
 
 
+def days_between(rows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The rows of the days in [first, last]; other partitions are not read."""
+    return rows.filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+
+
 def generation_table(spark: SparkSession, path: str) -> DayTable:
     return DayTable(spark, path, RAW_GENERATION, GENERATION_KEY)
 

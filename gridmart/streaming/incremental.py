@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridmart.plans.ingest import Feed, ingest
 from gridmart.schemas import DEFAULT_ZONE
-from gridmart.session import prepare, shared_dir
+from gridmart.session import prepare
 from gridmart.sources.documents import stream_documents
 
 
@@ -25,7 +25,8 @@ def ingest_stream(
     Each micro-batch is an ingest of its own. A batch that is repeated after a
     failure overwrites its own staging folders and upserts the same rows again,
     so the table ends the same. Failing documents stay out, with their verdicts
-    under the batch number.
+    under the batch number. Progress is kept beside the table unless ``checkpoint``
+    names another place that all executors share.
     """
     prepare(spark)
 
@@ -35,7 +36,7 @@ def ingest_stream(
     return (
         stream_documents(spark, archive, files_per_batch)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/ingest-stream")
+        .option("checkpointLocation", checkpoint or f"{path}_checkpoint")
         .trigger(availableNow=True)
         .start()
     )

@@ -156,3 +156,35 @@ def test_landing_makes_new_names(spark, places):
     back = documents.read_documents(spark, root).collect()
     assert sorted(r.document.strip() for r in back) == ["<a/>", "<a/>", "<b/>", "<b/>"]
     assert len({r.path for r in back}) == 4
+
+
+def test_daily_run(spark, folder):
+    from gridmart.plans.pipeline import run_day, run_days
+
+    archive, root = f"{folder}/archive", f"{folder}/root"
+    starts = {DAY: "2026-09-19T22:00Z", "2026-09-21": "2026-09-20T22:00Z"}
+    for day, start in starts.items():
+        values = [(p, p) for p in range(1, 97)]
+        land(f"{archive}/generation", day, "a", day_document(values, start=start))
+        land(f"{archive}/prices", day, "a", price_document(values, start=start))
+    for day in starts:
+        result = run_day(spark, archive, root, day)
+    assert result.models["hourly_energy_analysis"].count() == 48
+    assert {r.rule for r in result.rules.filter("failing_rows > 0").collect()} == set()
+    assert sorted(os.listdir(f"{root}/csv"))[-1] == "delivery_date=2026-09-21"
+
+    both = run_days(spark, archive, f"{folder}/other", dt.date(2026, 9, 20), dt.date(2026, 9, 21))
+    one, two = (r.models["hourly_energy_analysis"] for r in (result, both))
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+
+
+def test_daily_run_stops_at_a_failing_rule(spark, folder):
+    from gridmart.plans.pipeline import run_day
+    from gridmart.plans.quality import ChecksFailed
+
+    archive, root = f"{folder}/archive", f"{folder}/root"
+    five_minutes = [(p, p) for p in range(1, 13)]
+    land(f"{archive}/generation", DAY, "a", day_document(five_minutes, resolution="PT5M"))
+    land(f"{archive}/prices", DAY, "a", price_document([(1, 1)]))
+    with pytest.raises(ChecksFailed, match="interval_count.int_hourly_generation"):
+        run_day(spark, archive, root, DAY)
