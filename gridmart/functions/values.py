@@ -52,9 +52,3 @@ def production_type(code: Column) -> Column:
     """Name of a production type code; unmapped and missing codes are Unknown."""
     entries = [F.lit(text) for pair in PRODUCTION_TYPES.items() for text in pair]
     return F.coalesce(F.element_at(F.create_map(*entries), code), F.lit(UNKNOWN_TYPE))
-
-
-def missing(column: str, kind: str) -> Column:
-    """True for null, and for NaN in a double column."""
-    value = F.col(column)
-    return value.isNull() | F.isnan(value) if kind == "double" else value.isNull()

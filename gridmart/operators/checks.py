@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import resolution_code
-from gridmart.functions.values import missing
 from gridmart.schemas import (
     DAY,
     GENERATION_KEY,
@@ -27,33 +26,40 @@ REQUIRED_GENERATION = [
 ]
 
 
-def tally(rows: DataFrame, counts: dict[str, Column]) -> DataFrame:
-    """One row per count, all worked out in one pass; a count over no rows is zero."""
+def tally(rows: DataFrame, counts: dict[str, str]) -> DataFrame:
+    """One row per count, all worked out in one pass; a count over no rows is zero.
+
+    ``counts`` holds SQL aggregates by rule name. As text they cost one call each
+    to the driver's JVM, where columns built piece by piece cost a call per piece.
+    """
     names = [f"c{number}" for number in range(len(counts))]
-    zero = F.lit(0).cast("bigint")
-    totals = rows.agg(*[F.coalesce(c, zero).alias(n) for n, c in zip(names, counts.values())])
-    labels = F.create_map(*[F.lit(x) for pair in zip(names, counts) for x in pair])
-    return totals.unpivot([], names, "name", "failing_rows").select(
-        F.element_at(labels, F.col("name")).alias("rule"), "failing_rows"
+    totals = rows.selectExpr(
+        *[f"CAST(COALESCE({sql}, 0) AS BIGINT) AS {n}" for n, sql in zip(names, counts.values())]
     )
+    pairs = ", ".join(f"'{rule}', {name}" for rule, name in zip(counts, names))
+    return totals.selectExpr(f"stack({len(names)}, {pairs}) AS (rule, failing_rows)")
 
 
-def null_conditions(rows: DataFrame, columns: list[str]) -> dict[str, Column]:
+def null_conditions(rows: DataFrame, columns: list[str]) -> dict[str, str]:
+    """By column, the SQL condition that its value is missing; NaN counts as missing."""
     kinds = dict(rows.dtypes)
-    return {name: missing(name, kinds[name]) for name in columns}
+    return {
+        name: f"{name} IS NULL" + (f" OR isnan({name})" if kinds[name] == "double" else "")
+        for name in columns
+    }
 
 
-def interval_count_off() -> Column:
-    """An hour must be made of one to four points."""
-    return ~F.col("intervals_available").between(MIN_INTERVALS_PER_HOUR, MAX_INTERVALS_PER_HOUR)
+INTERVAL_COUNT_OFF = (
+    f"intervals_available NOT BETWEEN {MIN_INTERVALS_PER_HOUR} AND {MAX_INTERVALS_PER_HOUR}"
+)
 
 
 def generation_interval_failures(hourly: DataFrame) -> DataFrame:
-    return hourly.filter(interval_count_off())
+    return hourly.filter(INTERVAL_COUNT_OFF)
 
 
 def price_interval_failures(hourly: DataFrame) -> DataFrame:
-    return hourly.filter(interval_count_off()).select(
+    return hourly.filter(INTERVAL_COUNT_OFF).select(
         "bidding_zone", "hour_start_utc", "intervals_available"
     )
 
@@ -81,14 +87,11 @@ def generation_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
     the first shuffle, so a scope that holds much of the batch is no hot spot.
     """
     inner = _distinct([*scope, *GENERATION_KEY])
-    nulls = sum(
-        condition.cast("int")
-        for condition in null_conditions(points, REQUIRED_GENERATION).values()
-    )
+    incomplete = " OR ".join(null_conditions(points, REQUIRED_GENERATION).values())
     code = resolution_code(F.col("resolution"))
     keys = points.groupBy(*inner).agg(
         F.count(F.lit(1)).alias("copies"),
-        F.count_if(nulls > 0).alias("nulls"),
+        F.count_if(F.expr(incomplete)).alias("nulls"),
         *_unreadable(points),
         F.min(code).alias("low"),
         F.max(code).alias("high"),

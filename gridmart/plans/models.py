@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import fixed_hours, local_date
 from gridmart.operators import hourly
-from gridmart.schemas import DAY, DEFAULT_ZONE
-from gridmart.sources.tables import write_days
+from gridmart.schemas import DAY, DEFAULT_ZONE, HOURLY_GENERATION, HOURLY_PRICES
+from gridmart.sources.tables import days_between, write_days
 
-HOURLY_GENERATION, HOURLY_PRICES = "int_hourly_generation", "int_hourly_prices"
+# model -> schema and order of its stored rows
+_STORED = {
+    "int_hourly_generation": (HOURLY_GENERATION, hourly.GENERATION_HOUR_KEY),
+    "int_hourly_prices": (HOURLY_PRICES, hourly.HOUR_KEY),
+}
 
 
 def build_models(raw_generation: DataFrame, raw_prices: DataFrame) -> dict[str, DataFrame]:
@@ -31,8 +35,8 @@ def build_models(raw_generation: DataFrame, raw_prices: DataFrame) -> dict[str,
 def analysis_models(generation: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:
     """The hourly models and what is built on them, from hourly rows."""
     return {
-        HOURLY_GENERATION: generation,
-        HOURLY_PRICES: prices,
+        "int_hourly_generation": generation,
+        "int_hourly_prices": prices,
         "hourly_generation_prices": hourly.hourly_generation_prices(generation, prices),
         "hourly_energy_analysis": hourly.hourly_energy_analysis(generation, prices),
     }
@@ -48,29 +52,35 @@ def store_hourly(
     root: str,
     days: list[dt.date] | None = None,
     zone: str = DEFAULT_ZONE,
-) -> dict[str, DataFrame]:
-    """Write the two hourly models by day; return all models, on top of the stored rows.
+) -> None:
+    """Write the two hourly models below ``root``, by the local day an hour starts in.
 
-    Readers of the analysis then read hours in place of points. With ``days``,
-    only those days are worked out again: pass models over raw tables filtered to
-    them. That needs a zone whose midnights fall on UTC hours, or an hour would
-    hold points of two days.
+    With ``days``, only those days are replaced: pass models over raw tables
+    filtered to them. That needs a zone whose midnights fall on UTC hours, or an
+    hour would hold points of two days.
     """
     if days is not None and not fixed_hours(days, zone):
         raise ValueError(f"hours cross local days in {zone}: refresh all days")
-    stored = {}
-    keys = {HOURLY_GENERATION: hourly.GENERATION_HOUR_KEY, HOURLY_PRICES: hourly.HOUR_KEY}
-    for name, key in keys.items():
-        rows, path = models[name], f"{root}/{name}"
-        write_days(
-            rows.withColumn(DAY, local_date(F.col("hour_start_utc"), zone)), path, DAY, key
-        )
-        table = rows.sparkSession.read.schema(_with_day(rows)).parquet(path)
-        stored[name] = table.select(*rows.columns)
-    return {**models, **analysis_models(stored[HOURLY_GENERATION], stored[HOURLY_PRICES])}
-
-
-def _with_day(rows: DataFrame):
-    from pyspark.sql.types import DateType, StructType
-
-    return StructType(list(rows.schema.fields)).add(DAY, DateType())
+    day = local_date(F.col("hour_start_utc"), zone)
+    for name, (_, key) in _STORED.items():
+        write_days(models[name].withColumn(DAY, day), f"{root}/{name}", DAY, key)
+
+
+def stored_models(
+    spark: SparkSession,
+    root: str,
+    first: dt.date | None = None,
+    last: dt.date | None = None,
+) -> dict[str, DataFrame]:
+    """The hourly models as stored, and the analysis on top of them.
+
+    Readers of the analysis then read hours in place of points, and with
+    ``first`` and ``last`` only those of some days.
+    """
+    tables = []
+    for name, (schema, _) in _STORED.items():
+        rows = spark.read.schema(schema).parquet(f"{root}/{name}")
+        if first is not None and last is not None:
+            rows = days_between(rows, first, last)
+        tables.append(rows.drop(DAY))
+    return analysis_models(*tables)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridmart.functions.calendar import target_day
 from gridmart.plans import quality
 from gridmart.plans.ingest import GENERATION, PRICES, Feed, ingest
-from gridmart.plans.models import build_models, store_hourly
+from gridmart.plans.models import build_models, store_hourly, stored_models
 from gridmart.schemas import DEFAULT_ZONE
 from gridmart.session import prepare
 from gridmart.sources.documents import read_documents
@@ -46,9 +46,9 @@ def run_days(
     """One run for all days in [first, last], at the cost of those days only.
 
     Points go to ``<root>/generation`` and ``<root>/prices``, hours below
-    ``<root>/hourly``, the export below ``<root>/csv``. The models returned cover
-    all stored days. The rules look at the rows of the run: a key holds its day,
-    so a repeated key cannot hide in another one.
+    ``<root>/hourly``, the export below ``<root>/csv``. The hourly models returned
+    cover all stored days. The rules look at the rows of the run: a key holds its
+    day, so a repeated key cannot hide in another one.
     """
     prepare(spark)
     verdicts = {
@@ -61,12 +61,13 @@ def run_days(
     }
     fresh = build_models(points["generation"], points["prices"])
     days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
-    stored = store_hourly(fresh, f"{root}/hourly", days, zone)
-    rules = quality.rule_summary(fresh, zone)
+    hours = f"{root}/hourly"
+    store_hourly(fresh, hours, days, zone)
+    rules = quality.rule_summary({**fresh, **stored_models(spark, hours, first, last)}, zone)
     if strict:
         quality.require_passed(rules)
     write_price_csv(points["prices"], f"{root}/csv")
-    return RunResult(verdicts, stored, rules)
+    return RunResult(verdicts, {**fresh, **stored_models(spark, hours)}, rules)
 
 
 def _load(

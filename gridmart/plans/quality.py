@@ -75,15 +75,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _null_tallies(rows: DataFrame, columns: list[str], prefix: str) -> dict[str, Column]:
-    return {
-        f"{prefix}{name}": F.count_if(condition)
-        for name, condition in checks.null_conditions(rows, columns).items()
-    }
+def _null_tallies(rows: DataFrame, columns: list[str], prefix: str) -> dict[str, str]:
+    conditions = checks.null_conditions(rows, columns)
+    return {f"{prefix}{name}": f"count_if({sql})" for name, sql in conditions.items()}
 
 
-def _is_empty() -> Column:
-    return F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
+_NO_ROWS = "IF(count(*) = 0, 1, 0)"
 
 
 def _with_severity(counts: DataFrame, severities: dict[str, str]) -> DataFrame:
@@ -116,23 +113,23 @@ def not_null_counts(models: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _row_rules(model: str, rows: DataFrame) -> dict[str, Column]:
+def _row_rules(model: str, rows: DataFrame) -> dict[str, str]:
     """Every rule that looks at single rows of a model, or at how many there are."""
     rules = _null_tallies(rows, NOT_NULL[model], f"not_null.{model}.")
     if model in ("int_hourly_generation", "int_hourly_prices"):
-        rules[f"interval_count.{model}"] = F.count_if(checks.interval_count_off())
+        rules[f"interval_count.{model}"] = f"count_if({checks.INTERVAL_COUNT_OFF})"
     if model == "stg_generation":
         rules |= _null_tallies(rows, checks.REQUIRED_GENERATION, "batch.not_null.")
-        rules["batch.generation_rows"] = _is_empty()
+        rules["batch.generation_rows"] = _NO_ROWS
     if model == "stg_prices":
-        rules["batch.price_rows"] = _is_empty()
+        rules["batch.price_rows"] = _NO_ROWS
     return rules
 
 
-def _key_rules(model: str) -> dict[str, Column]:
+def _key_rules(model: str) -> dict[str, str]:
     """Rules over the repeated keys of a model."""
-    rules = {f"unique.{model}": F.count(F.lit(1))}
-    excess = F.sum(F.col("duplicate_count") - 1)
+    rules = {f"unique.{model}": "count(*)"}
+    excess = "sum(duplicate_count - 1)"
     if model == "stg_generation":
         rules["batch.duplicate_generation"] = excess
     if model == "stg_prices":
@@ -140,6 +137,17 @@ def _key_rules(model: str) -> dict[str, Column]:
     return rules
 
 
+# Rules over the slot counts of each zone (and type) and day.
+_GENERATION_DAY_RULES = {
+    "batch.one_resolution_per_type": "count_if(mixed_resolutions)",
+    "batch.missing_generation": "sum(missing_slots)",
+}
+_PRICE_DAY_RULES = {
+    "batch.one_resolution_per_day": "count_if(resolution IS NULL)",
+    "batch.missing_prices": "sum(missing_slots)",
+}
+
+
 def rule_tallies(models: dict[str, DataFrame], zone: str = DEFAULT_ZONE) -> list[DataFrame]:
     """All rules, with those that look at the same rows in one pass."""
     generation, prices = models["stg_generation"], models["stg_prices"]
@@ -149,16 +157,10 @@ def rule_tallies(models: dict[str, DataFrame], zone: str = DEFAULT_ZONE) -> list
         parts.append(checks.tally(rows, _row_rules(model, rows)))
         parts.append(checks.tally(duplicate_keys(rows, UNIQUE[model]), _key_rules(model)))
     no_price = hours_without_price(models["int_hourly_generation"], models["int_hourly_prices"])
-    parts.append(checks.tally(no_price, {"generation_hours_have_prices": F.count(F.lit(1))}))
-    mixed = F.count_if(F.col("mixed_resolutions"))
-    none_or_mixed = F.count_if(F.col("resolution").isNull())
-    missing = F.sum("missing_slots")
-    for rows, dims, rules in (
-        (generation, GENERATION_DIMS, {"one_resolution_per_type": mixed, "missing_generation": missing}),
-        (prices, PRICE_DIMS, {"one_resolution_per_day": none_or_mixed, "missing_prices": missing}),
-    ):
-        days = slot_counts(rows, dims, zone)
-        parts.append(checks.tally(days, {f"batch.{name}": c for name, c in rules.items()}))
+    parts.append(checks.tally(no_price, {"generation_hours_have_prices": "count(*)"}))
+    generation_days = slot_counts(generation, GENERATION_DIMS, zone)
+    parts.append(checks.tally(generation_days, _GENERATION_DAY_RULES))
+    parts.append(checks.tally(slot_counts(prices, PRICE_DIMS, zone), _PRICE_DAY_RULES))
     return parts
 
 

@@ -22,6 +22,19 @@ RAW_PRICES = """
 """
 PRICE_KEY = ["bidding_zone", "delivery_start_utc"]
 
+# The stored hourly models, partitioned by the local day the hour starts in.
+HOURLY_GENERATION = """
+    bidding_zone string, psr_type string, production_type string,
+    hour_start_utc timestamp, average_generation_mw double,
+    minimum_generation_mw double, maximum_generation_mw double,
+    intervals_available bigint, delivery_date_local date
+"""
+HOURLY_PRICES = """
+    bidding_zone string, hour_start_utc timestamp, average_price_eur_mwh double,
+    minimum_price_eur_mwh double, maximum_price_eur_mwh double,
+    intervals_available bigint, delivery_date_local date
+"""
+
 # Every text stays a string here: what counts as missing and what must raise is
 # decided after the parse. Fields not listed are skipped by the parser.
 GENERATION_DOCUMENT = """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import add_local_columns
 from gridmart.operators import hourly
-from gridmart.plans.models import build_models, register_views, store_hourly
+from gridmart.plans.models import build_models, register_views, store_hourly, stored_models
 from gridmart.schemas import PRODUCTION_TYPES
 from gridmart.sources import tables
 from samples import utc
@@ -139,21 +139,33 @@ def test_sorted_points(spark):
 
 
 def test_stored_hours_are_refreshed_by_day(spark, models, folder):
-    stored = store_hourly(models, folder)
-    before = {r.hour_start_utc: r for r in stored["hourly_energy_analysis"].collect()}
-    assert before.keys() == {r.hour_start_utc for r in models["hourly_energy_analysis"].collect()}
+    analysis = lambda *days: stored_models(spark, folder, *days)["hourly_energy_analysis"]
+    store_hourly(models, folder)
+    before = analysis().collect()
+    assert {r.hour_start_utc for r in before} == {
+        r.hour_start_utc for r in models["hourly_energy_analysis"].collect()
+    }
 
     day = dt.date(2026, 1, 6)
     fresh = build_models(
         generation(spark, ("2026-01-06T10:00", 7.0, "A", "B16")),
         prices(spark, ("2026-01-06T10:00", 9.0, "A")),
     )
-    again = store_hourly(fresh, folder, days=[day])["hourly_energy_analysis"].collect()
-    assert len(again) == len(before) + 1
+    store_hourly(fresh, folder, days=[day])
+    assert analysis().count() == len(before) + 1
+    assert [r.solar_mw for r in analysis(day, day).collect()] == [7.0]
     with pytest.raises(ValueError, match="cross local days"):
         store_hourly(fresh, folder, days=[day], zone="Asia/Kolkata")
 
 
+def test_stored_schemas_match_the_models(models):
+    from gridmart.plans.models import _STORED
+
+    for name, (schema, _) in _STORED.items():
+        declared = [tuple(field.split()) for field in schema.split(",")]
+        assert models[name].dtypes == declared[:-1]
+
+
 def test_day_table_of_prices_declares_all_columns(spark, folder):
     table = tables.price_table(spark, f"{folder}/prices")
     table.create_if_absent()
