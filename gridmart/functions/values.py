@@ -7,12 +7,9 @@ from pyspark.sql import functions as F
 
 from gridmart.schemas import PRODUCTION_TYPES, UNKNOWN_TYPE
 
-_DIGITS = r"[0-9](?:_?[0-9])*"
-_INT = rf"\A\s*[+-]?{_DIGITS}\s*\z"
-_FLOAT = (
-    rf"\A\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    r"|(?i:nan|inf|infinity))\s*\z"
-)
+# Spellings a cast reads although they are no decimal numbers: 1d, 2f, 0x1p3.
+_NOT_DECIMAL = r"[dDxX]|[0-9.][fF]"
+_GROUPING = r"(?<=[0-9])_(?=[0-9])"
 
 
 def present(text: Column) -> Column:
@@ -22,24 +19,30 @@ def present(text: Column) -> Column:
 
 def to_int(text: Column, strict: bool = True) -> Column:
     """Whole number; other text raises, or gives null if not ``strict``."""
-    return _number(text, _INT, "int", strict)
+    value = _ungrouped(text).try_cast("int")
+    return or_raise(value, text, "not a valid int: ") if strict else value
 
 
 def to_double(text: Column, strict: bool = True) -> Column:
     """Decimal number, by the same rule; ``nan`` reads as a missing measure."""
-    number = _number(text, _FLOAT, "double", strict)
+    value = _decimal(text)
+    number = or_raise(value, text, "not a valid double: ") if strict else value
     return F.when(~F.isnan(number), number)
 
 
 def is_number(text: Column) -> Column:
     """Whether ``to_double`` can read the text."""
-    return text.rlike(_FLOAT)
+    return _decimal(text).isNotNull()
 
 
-def _number(text: Column, pattern: str, kind: str, strict: bool) -> Column:
-    # A bare cast is too generous: it also reads "1d", "2f" and hexadecimal.
-    value = F.when(text.rlike(pattern), F.replace(text, F.lit("_"), F.lit("")).cast(kind))
-    return or_raise(value, text, f"not a valid {kind}: ") if strict else value
+def _ungrouped(text: Column) -> Column:
+    """The text without underscores between digits."""
+    bare = F.regexp_replace(text, _GROUPING, "")
+    return F.when(text.contains("_"), bare).otherwise(text)
+
+
+def _decimal(text: Column) -> Column:
+    return F.when(~text.rlike(_NOT_DECIMAL), _ungrouped(text).try_cast("double"))
 
 
 def or_raise(value: Column, text: Column, message: str) -> Column:
