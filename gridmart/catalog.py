@@ -375,7 +375,11 @@ def dup_hourly_generation(m: Market) -> DataFrame:
 
 @query
 def dup_hourly_price(m: Market) -> DataFrame:
-    return keys.duplicate_keys(_models(m)["int_hourly_prices"], hourly.HOUR_KEY)
+    """Hours that both the points of 15 and those of 60 minutes give a price for."""
+    raw = m.raw_prices()
+    feeds = [raw.filter(F.col("resolution") == text) for text in ("PT15M", "PT60M")]
+    quarter, full = (hourly.int_hourly_prices(points) for points in feeds)
+    return keys.duplicate_keys(quarter.unionByName(full), hourly.HOUR_KEY)
 
 
 @query

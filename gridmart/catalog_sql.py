@@ -478,7 +478,11 @@ ORACLE: dict[str, str] = {
     "dup_generation_key": _with("raw_gen", _dup("raw_gen", _GEN_KEY)),
     "dup_price_key": _with("raw_price", _dup("raw_price", _PRICE_KEY)),
     "dup_hourly_generation": _with("two_name_hours", _dup("two_name_hours", _GEN_HOUR_KEY)),
-    "dup_hourly_price": _with("price_hours", _dup("price_hours", _HOUR_KEY)),
+    "dup_hourly_price": _with(
+        "raw_price",
+        f""", feed_hours AS ({_hourly("raw_price", "resolution, bidding_zone", "price_eur_mwh")})
+        {_dup("feed_hours", _HOUR_KEY)}""",
+    ),
     "dup_hourly_join": _with(
         "two_name_hours price_hours",
         _dup(

@@ -36,7 +36,7 @@ def resolution_interval(text: Column, strict: bool = True) -> Column:
     return F.make_dt_interval(mins=resolution_minutes(text, strict).cast("int"))
 
 
-def resolution_code(text: Column) -> Column:
+def resolution_code(text: Column, strict: bool = True) -> Column:
     """A number for the text, another one for every other text (PT60M is not PT1H).
 
     The smallest or largest text of a group makes Spark sort all rows; with
@@ -44,7 +44,7 @@ def resolution_code(text: Column) -> Column:
     """
     hours = (F.right(text, F.lit(1)) == "H").cast("bigint")
     code = (_amount(text) * 64 + F.length(text)) * 2 + hours
-    return or_raise(code, text, "unsupported resolution: ")
+    return or_raise(code, text, "unsupported resolution: ") if strict else code
 
 
 def code_minutes(code: Column) -> Column:

@@ -88,7 +88,7 @@ def generation_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
     """
     inner = _distinct([*scope, *GENERATION_KEY])
     incomplete = " OR ".join(null_conditions(points, REQUIRED_GENERATION).values())
-    code = resolution_code(F.col("resolution"))
+    code = resolution_code(F.col("resolution"), strict=False)
     keys = points.groupBy(*inner).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if(F.expr(incomplete)).alias("nulls"),
@@ -117,7 +117,7 @@ def price_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
     """Batch checks of prices for each value of ``scope``; a null counts in key columns only."""
     inner = _distinct([*scope, *PRICE_KEY])
     no_key = F.col("bidding_zone").isNull() | F.col("delivery_start_utc").isNull()
-    code = resolution_code(F.col("resolution"))
+    code = resolution_code(F.col("resolution"), strict=False)
     keys = points.groupBy(*inner).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if(no_key).alias("nulls"),

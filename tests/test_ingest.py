@@ -98,6 +98,18 @@ def test_failing_documents(spark, places, error):
     assert stored(spark, path) == [5.0]
 
 
+@pytest.mark.parametrize("options", [{"resolution": "P1D"}, {"start": "soon"}])
+def test_unreadable_periods(spark, places, options):
+    root, path = places
+    land(root, DAY, "bad", day_document([(1, 1)], **options))
+    land(f"{root}_prices", DAY, "bad", price_document([(1, 1)], **options))
+    for archive, feed in ((root, GENERATION), (f"{root}_prices", PRICES)):
+        with pytest.raises(Exception):
+            run(spark, archive, f"{path}_{feed.name}", feed)
+        verdicts = run(spark, archive, f"{path}_{feed.name}", feed, strict=False)
+        assert [r.error for r in verdicts.collect()] == ["unreadable text"]
+
+
 def test_malformed_document(spark, places):
     root, path = places
     land(root, DAY, "bad", "<Doc><TimeSeries>")
