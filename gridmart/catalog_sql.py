@@ -296,7 +296,8 @@ def _summary() -> str:
 
 def _null_counts() -> str:
     """Readings below 1 MW are null here; an hour made of such readings has no average."""
-    delivered = "SELECT * REPLACE (CASE WHEN generation_mw >= 1 THEN generation_mw END AS generation_mw) FROM raw_gen"
+    delivered = """SELECT * REPLACE (CASE WHEN generation_mw >= 1 THEN generation_mw END
+        AS generation_mw) FROM raw_gen"""
     views = _MODEL_VIEWS | {
         "stg_generation": "delivered",
         "stg_prices": "price",

@@ -10,20 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import utc_hour
-from gridmart.schemas import FOSSIL_TYPES, HYDRO_TYPES, RAW_GENERATION, RAW_PRICES, RENEWABLE_TYPES
+from gridmart.schemas import (
+    FOSSIL_TYPES,
+    GENERATION_COLUMNS,
+    HYDRO_TYPES,
+    PRICE_COLUMNS,
+    RENEWABLE_TYPES,
+)
 
 HOUR_KEY = ["bidding_zone", "hour_start_utc"]
 GENERATION_HOUR_KEY = ["bidding_zone", "psr_type", "hour_start_utc"]
 
 
-def _names(schema: str) -> list[str]:
-    return [field.split()[0] for field in schema.split(",")]
-
-
-GENERATION_COLUMNS = _names(RAW_GENERATION)
-PRICE_COLUMNS = _names(RAW_PRICES)
-
-
 def stg_generation(raw: DataFrame) -> DataFrame:
     return raw.select(*GENERATION_COLUMNS)
 

@@ -22,6 +22,15 @@ RAW_PRICES = """
 """
 PRICE_KEY = ["bidding_zone", "delivery_start_utc"]
 
+
+def column_names(schema: str) -> list[str]:
+    """Names in a column list whose types hold no commas."""
+    return [field.split()[0] for field in schema.split(",")]
+
+
+GENERATION_COLUMNS = column_names(RAW_GENERATION)
+PRICE_COLUMNS = column_names(RAW_PRICES)
+
 # The stored hourly models, partitioned by the local day the hour starts in.
 HOURLY_GENERATION = """
     bidding_zone string, psr_type string, production_type string,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.operators.hourly import PRICE_COLUMNS
-from gridmart.schemas import DAY
+from gridmart.schemas import DAY, PRICE_COLUMNS
 
 # Fixed value: instants are written with their offset, as in 2026-09-20 02:00:00+02:00.
-_STAMP = "yyyy-MM-dd HH:mm:ss"
+# A fraction of a second appears only where there is one.
+_STAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]xxx"
+_OFFSET_LENGTH = len("+02:00")
 _PATH_DAY = "delivery_date"
 
 
@@ -28,7 +29,7 @@ def write_price_csv(prices: DataFrame, root: str) -> None:
     utc, local = F.col("delivery_start_utc"), F.col("delivery_start_local")
 
     def with_offset(instant: Column, offset: Column) -> Column:
-        return F.concat(F.date_format(instant, _STAMP), offset)
+        return F.concat(instant.cast("timestamp_ntz").cast("string"), offset)
 
     text = {
         "delivery_start_utc": with_offset(utc, F.lit("+00:00")),
@@ -57,12 +58,11 @@ def read_price_csv(spark: SparkSession, root: str) -> DataFrame:
         delivery_date date
     """
     rows = spark.read.schema(schema).option("header", True).csv(root)
-    pattern = F.lit(_STAMP)
+    local = F.col("delivery_start_local")
+    wall_clock = F.substring(local, F.lit(1), F.length(local) - _OFFSET_LENGTH)
     values = {
-        "delivery_start_utc": F.to_timestamp("delivery_start_utc", f"{_STAMP}xxx"),
-        "published_at_utc": F.to_timestamp("published_at_utc", f"{_STAMP}xxx"),
-        "delivery_start_local": F.to_timestamp_ntz(
-            F.substring("delivery_start_local", 1, len(_STAMP)), pattern
-        ),
+        "delivery_start_utc": F.to_timestamp("delivery_start_utc", _STAMP),
+        "published_at_utc": F.to_timestamp("published_at_utc", _STAMP),
+        "delivery_start_local": wall_clock.cast("timestamp_ntz"),
     }
     return rows.select(*[values.get(name, F.col(name)).alias(name) for name in PRICE_COLUMNS])

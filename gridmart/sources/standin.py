@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import add_local_columns, day_start
 from gridmart.functions.values import production_type
-from gridmart.operators.hourly import GENERATION_COLUMNS, PRICE_COLUMNS
-from gridmart.schemas import DAY
+from gridmart.schemas import DAY, GENERATION_COLUMNS, PRICE_COLUMNS
 from gridmart.session import prepare
 
 EVENT_CODES = {"view": "B16", "click": "B19", "purchase": "B04", "signup": "B12"}

@@ -8,7 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.schemas import DAY, GENERATION_KEY, PRICE_KEY, RAW_GENERATION, RAW_PRICES
+from gridmart.schemas import (
+    DAY,
+    GENERATION_KEY,
+    PRICE_KEY,
+    RAW_GENERATION,
+    RAW_PRICES,
+    column_names,
+)
 
 # Days are listed on the driver to prune partitions; beyond this many, their range is used.
 MAX_LISTED_DAYS = 4000
@@ -37,7 +44,7 @@ class DayTable:
 
     @property
     def columns(self) -> list[str]:
-        return [field.split()[0] for field in self.schema.split(",")]
+        return column_names(self.schema)
 
     def stage(self, batch: DataFrame) -> DataFrame:
         """Replace the staging table by the batch, and read it from there.

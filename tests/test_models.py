@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gridmart.functions.calendar import add_local_columns
 from gridmart.operators import hourly
 from gridmart.plans.models import build_models, register_views, store_hourly, stored_models
-from gridmart.schemas import PRODUCTION_TYPES
+from gridmart.schemas import PRICE_COLUMNS, PRODUCTION_TYPES
 from gridmart.sources import tables
 from samples import utc
 
@@ -169,4 +169,4 @@ def test_stored_schemas_match_the_models(models):
 def test_day_table_of_prices_declares_all_columns(spark, folder):
     table = tables.price_table(spark, f"{folder}/prices")
     table.create_if_absent()
-    assert table.read().columns == hourly.PRICE_COLUMNS
+    assert table.read().columns == PRICE_COLUMNS

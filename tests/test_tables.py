@@ -94,7 +94,8 @@ def test_latest_rows(spark):
 
 def test_csv(spark, folder):
     rows = prices(spark, ("2026-01-05T10:15", -1.5, "A"), ("2026-01-05T10:00", 2.0, "A"),
-                  ("2026-07-05T10:00", 3.0, "A"))
+                  ("2026-07-05T10:00", 3.0, "A"), ("2026-10-25T00:30", 4.0, "A"),
+                  ("2026-10-25T01:30", 5.0, "A"), ("2026-10-26T10:00:00.250001", 6.0, "A"))
     exports.write_price_csv(rows, folder)
     (summer,) = glob.glob(f"{folder}/delivery_date=2026-07-05/*.csv")
     assert open(summer).read().splitlines() == [
@@ -104,6 +105,9 @@ def test_csv(spark, folder):
     ]
     (winter,) = glob.glob(f"{folder}/delivery_date=2026-01-05/*.csv")
     assert [line[11:16] for line in open(winter).read().splitlines()[1:]] == ["10:00", "10:15"]
+    (autumn,) = glob.glob(f"{folder}/delivery_date=2026-10-25/*.csv")
+    locals_ = [line.split(",")[8] for line in open(autumn).read().splitlines()[1:]]
+    assert locals_ == ["2026-10-25 02:30:00+02:00", "2026-10-25 02:30:00+01:00"]
     back = exports.read_price_csv(spark, folder)
     assert back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
 
