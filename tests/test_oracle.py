@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from gridmart.catalog import QUERIES
+from gridmart.catalog_sql import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -40,13 +42,15 @@ def sorted_rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    frame = driver.queries()[name](spark, FOLDER)
-    result = duck.execute(driver.oracle_sql()[name])
+    frame = QUERIES[name](spark, FOLDER)
+    result = duck.execute(ORACLE[name])
     columns = [column[0] for column in result.description]
     assert sorted(frame.columns) == sorted(columns)
     operators = str(frame._jdf.queryExecution().executedPlan())
