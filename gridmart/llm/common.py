@@ -35,6 +35,18 @@ def whole(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def row_key(tag: Column) -> list[Column]:
+    """Two columns, never null, that tell documents apart: join keys ``_id`` and ``_tag``.
+
+    ``tag`` is a hash of the text, for tables in which an id repeats or is null.
+    """
+    missing = F.col("doc_id").isNull()
+    return [
+        F.coalesce(F.col("doc_id"), F.lit(-1)).cast("long").alias("_id"),
+        F.when(missing, F.bitwise_not(tag)).otherwise(tag).alias("_tag"),
+    ]
+
+
 def on_keys(left: str, right: str, keys: Iterable[str]) -> Column:
     """Equality of the keys of two aliased tables, null meeting null."""
     condition = F.lit(True)

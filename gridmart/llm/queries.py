@@ -12,6 +12,7 @@ from gridmart.llm import (
     fingerprints,
     language,
     packing,
+    repeats,
     sharding,
     simhash,
     token_counts,
@@ -34,6 +35,10 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(documents(spark, sf_dir))
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import chunks, map_batches, stored
+from gridmart.llm.common import chunks, map_batches, row_key, stored
 from gridmart.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -205,18 +205,9 @@ def deduplicate(docs: DataFrame, size: int = SHINGLE_WORDS, bits: int = MAX_BITS
         _members(docs, size, bits)
         .groupBy("root")
         .agg(first.alias("kept"))
-        .select(*_row_key(F.col("kept.doc_id"), F.col("kept.tag")))
+        .select("kept.doc_id", "kept.tag")
+        .select(*row_key(F.col("tag")))
     )
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *_row_key(
-        F.col("doc_id"), text_tag()
-    ))
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *row_key(text_tag()))
     once = keyed.join(kept, ["_id", "_tag"], "left_semi").dropDuplicates(["_id", "_tag"])
     return once.select("_row.*")
-
-
-def _row_key(doc_id: Column, tag: Column) -> list[Column]:
-    """Two columns that are never null and tell documents apart, as join keys."""
-    return [
-        F.coalesce(doc_id, F.lit(-1)).cast("long").alias("_id"),
-        F.when(doc_id.isNull(), F.bitwise_not(tag)).otherwise(tag).alias("_tag"),
-    ]
