@@ -30,6 +30,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def forget(frame: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more, so its disk is free at once."""
+    spark = frame.sparkSession
+    files = frame.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def whole(text: Column | str) -> Column:
     """The text, null as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -14,8 +14,10 @@ names. Spark then ranks what may still repeat, in rounds that drop what is uniqu
    151 are anchors, so this round moves a hundredth of the bytes.
 2. Windows with one anchor lie side by side: a run. Runs of equal content repeat as a
    whole, and one of them stands for the others from here on.
-3. The windows of runs that share an anchor's name but not their content are ranked one
-   by one, by the pair of names that covers the window.
+3. Of runs that share an anchor's name but not their content, blocks of neighbouring
+   windows are compared: what all windows of a block contain is its core. Windows whose
+   core is unique are unique; blocks of equal content repeat as a whole. What is left is
+   told apart by the few bytes around the core that each window adds to it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import map_batches, row_key, stored, whole
+from gridmart.llm.common import forget, map_batches, row_key, stored, whole
 
 WINDOW = 200
 
@@ -51,30 +53,34 @@ def _fold(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _BYTES = _fold(np.arange(1, 257, dtype=np.uint64), np.full(256, 7, np.uint64))
 
 
+def block_size(window: int) -> int:
+    """Neighbouring windows that are compared as one."""
+    return max(1, min(16, window // 8))
+
+
 class Names:
-    """Names at every position of some bytes: of windows, as two, and of their samples."""
+    """Names at every position: of windows and block cores, two each, and of samples."""
 
     def __init__(self, data: np.ndarray, window: int):
-        self.sample = sample = max(1, window // 4)
+        self.sample = max(1, window // 4)
+        self.core_bytes = window - block_size(window) + 1
         now, length = _BYTES[data], 1
-        self.short = None
         while True:
-            if self.short is None and sample < 2 * length:
-                self.short = self._covering(now, length, sample)
+            if length <= self.sample < 2 * length:
+                self.short = _fold(*self._pair(now, length, self.sample))
+            if length <= self.core_bytes < 2 * length:
+                self.core = self._pair(now, length, self.core_bytes)
             if 2 * length > window:
                 break
             now = _fold(now[:-length], now[length:])
             length *= 2
-        count = len(data) - window + 1
-        self.left, self.right = now[:count], now[window - length :][:count]
+        self.left, self.right = self._pair(now, length, window)
 
     @staticmethod
-    def _covering(now: np.ndarray, length: int, wanted: int) -> np.ndarray:
-        """The name of ``wanted`` bytes, from two that overlap."""
+    def _pair(now: np.ndarray, length: int, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+        """Names of the first and the last ``length`` bytes of each ``wanted`` bytes."""
         count = len(now) + length - wanted
-        if wanted == length:
-            return now
-        return _fold(now[:count], now[wanted - length :][:count])
+        return now[:count], now[wanted - length :][:count]
 
     def anchors(self, window: int) -> np.ndarray:
         """For each window, the position of the least sample name in it; the first if tied."""
@@ -114,7 +120,8 @@ def _parts(texts: list[bytes], window: int) -> Iterator[tuple[np.ndarray, list[t
 
 
 def _runs(texts: list[bytes], window: int) -> Iterator[dict[str, np.ndarray]]:
-    """Runs of windows with one anchor: text, start, n (windows), anchor's and run's name."""
+    """Runs of windows with one anchor: text, start, n (windows), gap (from the start
+    to the anchor), and the names of anchor and content."""
     for data, pieces in _parts(texts, window):
         names = Names(data, window)
         anchor = names.anchors(window)
@@ -137,6 +144,7 @@ def _runs(texts: list[bytes], window: int) -> Iterator[dict[str, np.ndarray]]:
             "text": text[piece],
             "start": offset[piece] + first - begin[piece],
             "n": end - first + 1,
+            "gap": anchor[first] - first,
             "anchor": names.short[anchor[first]].view(np.int64),
             "run": _fold(run, shape.astype(np.uint64)).view(np.int64),
         }
@@ -160,12 +168,20 @@ def _run_table(docs: DataFrame, window: int) -> DataFrame:
             text = found.pop("text")
             yield {"_id": ids[text], "_tag": tags[text], **found}
 
-    schema = f"{_KEY}, start long, n int, anchor long, run long"
+    schema = f"{_KEY}, start long, n int, gap int, anchor long, run long"
     return map_batches(_keyed(docs), batch, schema)
 
 
-def _window_table(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
-    """The two names of each window asked for: of each document a list of runs."""
+def _block_table(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
+    """The runs asked for, a list for each document, cut into blocks.
+
+    The windows of a block start ``place`` (from 0 up to the block's size) bytes before
+    its core, which lies a whole number of block sizes before the anchor: so equal
+    windows are in blocks of one number, with equal cores and equal places. A row has the
+    n windows from ``low`` bytes before the core on, the largest place starting at
+    ``start``, and the bytes they add to the core on its left and right.
+    """
+    size = block_size(window)
 
     def batch(rows: pa.RecordBatch):
         ids, tags = rows.column("_id").to_numpy(), rows.column("_tag").to_numpy()
@@ -173,50 +189,122 @@ def _window_table(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
         texts = _utf8(rows.column("text"))
         for data, pieces in _parts(texts, window):
             names = Names(data, window)
-            places, meta = [], []
+            one, two = (part.view(np.int64) for part in names.core)
+            found: list[tuple] = []
             for text, offset, begin, length in pieces:
-                low, high = offset, offset + length - window
+                top = offset + length - window
+                raw = texts[text]
                 for run in wanted[text]:
                     first, last = run["start"], run["start"] + run["n"] - 1
-                    first, last = max(first, low), min(last, high)
-                    if first <= last:
-                        places.append(np.arange(first, last + 1) - offset + begin)
-                        meta.append((text, offset - begin, run["known"], last - first + 1))
-            if not places:
+                    anchor = first + run["gap"]
+                    first, last = max(first, offset), min(last, top)
+                    while first <= last:
+                        number = (anchor - first) // size
+                        core = anchor - number * size
+                        end = min(last, core)
+                        low, tail = core - end, core + names.core_bytes
+                        found.append(
+                            (
+                                text,
+                                first,
+                                end - first + 1,
+                                number,
+                                low,
+                                run["known"],
+                                core - offset + begin,
+                                raw[first:core],
+                                raw[tail : tail + size - 1 - low],
+                            )
+                        )
+                        first = end + 1
+            if not found:
                 continue
-            at = np.concatenate(places)
-            text, shift, known, count = (np.array(c) for c in zip(*meta))
-            text = np.repeat(text, count)
+            text, start, n, number, low, known, at, left, right = zip(*found)
+            text, at = np.array(text), np.array(at)
             yield {
                 "_id": ids[text],
                 "_tag": tags[text],
-                "start": at + np.repeat(shift, count),
-                "known": np.repeat(known, count),
-                "left": names.left[at].view(np.int64),
-                "right": names.right[at].view(np.int64),
+                "start": start,
+                "n": n,
+                "number": number,
+                "low": low,
+                "known": known,
+                "one": one[at],
+                "two": two[at],
+                "before": left,
+                "after": right,
             }
 
     joined = _keyed(docs).join(asked, ["_id", "_tag"])
-    schema = f"{_KEY}, start long, known boolean, left long, right long"
+    schema = (
+        f"{_KEY}, start long, n int, number int, low int, known boolean, one long, two long,"
+        " before binary, after binary"
+    )
     return map_batches(joined, batch, schema)
 
 
+def _repeated_in_blocks(blocks: DataFrame, window: int) -> DataFrame:
+    """Windows of blocks, not known yet to repeat, that do: _id, _tag, start, n."""
+    core = ["number", "one", "two"]
+    content = [*core, "low", "n", "before", "after"]
+    shared = blocks.groupBy(core).agg(F.count("*").alias("c")).filter("c > 1").select(core)
+    open_ = blocks.join(shared, core, "left_semi")
+    contents = open_.groupBy(content).agg(
+        F.count("*").alias("c"), F.min(F.struct("_id", "_tag", "start")).alias("of")
+    )
+    contents = stored(contents, "contents")
+    settled = (
+        open_.filter("NOT known")
+        .join(contents.filter("c > 1").select(content), content, "left_semi")
+        .select("_id", "_tag", "start", F.col("n").cast("long").alias("n"))
+    )
+
+    kinds = contents.groupBy(core).agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    unlike = contents.join(kinds.select(core), core, "left_semi")
+    top = F.col("low") + F.col("n") - 1
+    place = F.explode(F.sequence("low", top)).alias("place")
+    windows = unlike.select(*core, "before", "after", "of", "c", top.alias("top"), place)
+    added = [
+        F.substring("before", F.col("top") - F.col("place") + 1, F.col("place")).alias("before"),
+        F.substring("after", F.lit(1), F.lit(block_size(window) - 1) - F.col("place")).alias(
+            "after"
+        ),
+    ]
+    windows = windows.select(
+        *core, "place", *added, "of", "c", (F.col("top") - F.col("place")).alias("shift")
+    )
+    key = [*core, "place", "before", "after"]
+    twice = windows.groupBy(key).agg(F.count("*").alias("t")).filter("t > 1").select(key)
+    found = (
+        windows.filter("c = 1")
+        .join(twice, key, "left_semi")
+        .select(
+            "of._id",
+            "of._tag",
+            (F.col("of.start") + F.col("shift")).alias("start"),
+            F.lit(1).cast("long").alias("n"),
+        )
+    )
+    return settled.union(found)
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows that also start somewhere else: _id, _tag, spans (start, n windows).
 
     One row per document that has any (``_id`` and ``_tag`` as of ``row_key``). Windows
-    lie within one document and may overlap. Anchors and runs are counted by aggregates
-    with a partial sum in each map task, so copies and frequent passages reach a shuffle
-    as one row a task; the joins after it are on single counted keys, whose hot ones the
-    engine may split, and never pair members of a group.
+    lie within one document and may overlap. Anchors, runs, cores and windows are counted
+    by aggregates with a partial sum in each map task, so copies and frequent passages
+    reach a shuffle as one row a task; the joins after it are on single counted keys,
+    whose hot ones the engine may split, and never pair members of a group.
     """
     anchors = stored(_run_table(docs, window), "anchors")
     several = anchors.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
     near = stored(anchors.join(several.select("anchor"), "anchor", "left_semi"), "near")
+    forget(anchors)
 
-    member = F.min(F.struct("_id", "_tag", "start", "n"))
+    member = F.min(F.struct("_id", "_tag", "start", "n", "gap"))
     runs = stored(
-        near.groupBy("anchor", "run").agg(F.count("*").alias("c"), member.alias("one")), "runs"
+        near.groupBy("anchor", "run").agg(F.count("*").alias("c"), member.alias("of")), "runs"
     )
     known = runs.filter("c > 1").select("anchor", "run")
     settled = near.join(known, ["anchor", "run"], "left_semi").select(
@@ -225,20 +313,14 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     kinds = runs.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     unlike = runs.join(kinds.select("anchor"), "anchor", "left_semi").select(
-        "one.*", (F.col("c") > 1).alias("known")
+        "of.*", (F.col("c") > 1).alias("known")
     )
     asked = unlike.groupBy("_id", "_tag").agg(
-        F.collect_list(F.struct("start", "n", "known")).alias("asked")
-    )
-    windows = stored(_window_table(docs, asked, window), "windows")
-    twice = windows.groupBy("left", "right").agg(F.count("*").alias("c")).filter("c > 1")
-    found = (
-        windows.filter("NOT known")
-        .join(twice.select("left", "right"), ["left", "right"], "left_semi")
-        .select("_id", "_tag", "start", F.lit(1).cast("long").alias("n"))
+        F.collect_list(F.struct("start", "n", "gap", "known")).alias("asked")
     )
+    blocks = stored(_block_table(docs, asked, window), "blocks")
     return (
-        settled.union(found)
+        settled.union(_repeated_in_blocks(blocks, window))
         .groupBy("_id", "_tag")
         .agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     )
