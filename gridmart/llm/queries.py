@@ -13,6 +13,7 @@ from gridmart.llm import (
     language,
     packing,
     repeats,
+    segmentation,
     sharding,
     simhash,
     token_counts,
@@ -48,6 +49,11 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op8_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return segmentation.digests(segmentation.encode(documents(spark, sf_dir), model), model)
+
+
 def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(documents(spark, sf_dir))
 
