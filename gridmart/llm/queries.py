@@ -51,7 +51,7 @@ def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return segmentation.digests(segmentation.encode(documents(spark, sf_dir), model), model)
+    return segmentation.digests(documents(spark, sf_dir), model)
 
 
 def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ they are a sample without replacement.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
@@ -30,7 +31,7 @@ from gridmart.llm.common import chunks, map_batches, whole
 SAMPLES = 2
 
 # Characters of texts whose units share one table of lattices.
-_CHUNK = 2 << 20
+_CHUNK = 3 << 19
 _SPACES = re.compile(r"\s ")
 _GOLDEN = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -85,11 +86,28 @@ class Vocabulary:
         keys = sorted((state << 21 | code, to) for (state, code), to in children.items())
         self.keys = np.array([key for key, _ in keys], np.int64)
         self.to = np.array([to for _, to in keys], np.int64)
+        self.first = np.zeros(1 << 21, np.int64)  # from the root, by code point
+        for (state, code), to in children.items():
+            if not state:
+                self.first[code] = to
         self.ids = np.full(len(children) + 1, -1, np.int64)
         self.weights = np.zeros(len(children) + 1)
         for state, i in ids.items():
             self.ids[state], self.weights[state] = i, weights[state]
 
+    def step(
+        self, live: np.ndarray, state: np.ndarray, code: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The walks that a piece goes on with, and where they stand then."""
+        if not state.any():
+            to = self.first[code]
+            match = to > 0
+            return live[match], to[match]
+        key = state << 21 | code
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        match = self.keys[at] == key
+        return live[match], self.to[at[match]]
+
 
 class Lattices:
     """The lattices of some units: for every edge its piece and probability at its node.
@@ -117,10 +135,7 @@ class Lattices:
             live, state = live[fits], state[fits]
             if not len(live):
                 break
-            key = state << 21 | codes[live + length - 1]
-            at = np.minimum(np.searchsorted(vocabulary.keys, key), len(vocabulary.keys) - 1)
-            match = vocabulary.keys[at] == key
-            live, state = live[match], vocabulary.to[at[match]]
+            live, state = vocabulary.step(live, state, codes[live + length - 1])
             whole_piece = vocabulary.ids[state] >= 0
             found, ended = live[whole_piece], state[whole_piece]
             if length == 1:
@@ -142,7 +157,7 @@ class Lattices:
         self.source, self.target = source[order], target[order]
         self.piece, weight = piece[order], weight[order]
         nodes = len(codes) + len(parts)
-        self.begin = np.searchsorted(self.source, np.arange(nodes + 1))
+        self.begin = np.append(0, np.cumsum(np.bincount(self.source, minlength=nodes)))
         self._weigh(weight, nodes, lengths)
 
     def _weigh(self, weight: np.ndarray, nodes: int, lengths: np.ndarray) -> None:
@@ -150,29 +165,34 @@ class Lattices:
         after = np.zeros(nodes)
         paths = np.ones(nodes)
         steps = np.repeat(self.last, lengths + 1) - np.arange(nodes)
-        order = np.argsort(steps, kind="stable")
-        cuts = np.searchsorted(steps[order], np.arange(1, steps.max(initial=0) + 2))
-        for low, high in zip(cuts, cuts[1:]):
-            here = order[low:high]
-            counts = self.begin[here + 1] - self.begin[here]
-            starts = np.cumsum(counts) - counts
-            edge = np.arange(counts.sum()) + np.repeat(self.begin[here] - starts, counts)
-            value = weight[edge] + after[self.target[edge]]
+        most = int(steps.max(initial=0))
+        left = steps[self.source].astype(np.int16 if most < 1 << 15 else np.int64)
+        order = np.argsort(left, kind="stable")
+        source, target, weights = self.source[order], self.target[order], weight[order]
+        cuts = np.searchsorted(left[order], np.arange(1, most + 2))
+        for low, high in zip(cuts.tolist(), cuts[1:].tolist()):
+            here, to = source[low:high], target[low:high]
+            starts = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+            value = weights[low:high] + after[to]
             top = np.maximum.reduceat(value, starts)
+            counts = np.diff(np.append(starts, high - low))
             total = np.add.reduceat(np.exp(value - np.repeat(top, counts)), starts)
-            after[here] = top + np.log(total)
-            paths[here] = np.add.reduceat(paths[self.target[edge]], starts)
+            after[here[starts]] = top + np.log(total)
+            paths[here[starts]] = np.add.reduceat(paths[to], starts)
         self.paths = paths
         self.log_p = weight + after[self.target] - after[self.source]
         chance = np.exp(self.log_p)
-        total = np.cumsum(chance)
-        counts = np.diff(self.begin)
-        full = counts > 0
+        # A node's likeliest edges come first, so most draws end at the first they try.
+        order = np.argsort(self.source - chance, kind="stable")
+        for name in ("target", "piece", "log_p"):
+            setattr(self, name, getattr(self, name)[order])
+        total = np.cumsum(chance[order])
+        full = np.diff(self.begin) > 0
+        first, last = self.begin[:-1][full], self.begin[1:][full] - 1
         base = np.zeros(nodes)
-        base[full] = total[self.begin[:-1][full]] - chance[self.begin[:-1][full]]
-        inside = np.minimum(total - base[self.source], 1.0)
-        inside[self.begin[1:][full] - 1] = 1.0  # a draw below 1 ends at a node's last edge
-        self.choice = self.source + inside
+        base[full] = np.append(0.0, total)[first]
+        self.until = total - base[self.source]
+        self.until[last] = 2.0  # every draw ends at the last edge at the latest
 
     def walk(self, which: np.ndarray, seeds: np.ndarray) -> Walks:
         """A path through each of the units, drawn by the probabilities."""
@@ -183,8 +203,11 @@ class Lattices:
         step = 0
         while len(live):
             draw = _uniform(seeds[live] + np.uint64((step * _GOLDEN) & _MASK))
-            edge = np.searchsorted(self.choice, at[live] + draw, "right")
-            edge = np.minimum(edge, self.begin[at[live] + 1] - 1)
+            edge = self.begin[at[live]]
+            on = np.flatnonzero(draw >= self.until[edge])
+            while len(on):
+                edge[on] += 1
+                on = on[draw[on] >= self.until[edge[on]]]
             log_p[live] += self.log_p[edge]
             rows.append(live)
             edges.append(edge)
@@ -467,69 +490,101 @@ def encode(
     """
 
     def batch(rows: pa.RecordBatch, vocabulary: Vocabulary):
-        texts, seeds = (rows.column(name).to_pylist() for name in ("text", "seed"))
-        ids, tags = rows.column("doc_id"), rows.column("tag")
-        for first, last in chunks(texts, _CHUNK):
-            found = list(
-                sample_texts(vocabulary, texts[first:last], seeds[first:last], samples)
-            )
-            at, rank, log_p, value, inclusion, pieces = zip(*found)
-            row = pa.array([first + i for i in at])
-            yield {
-                "doc_id": ids.take(row),
-                "tag": tags.take(row),
-                "sample": rank,
-                "n_pieces": [len(part) for part in pieces],
-                "log_prob": log_p,
-                "perturbed": value,
-                "log_inclusion": inclusion,
-                "ids": [part.astype("<i4").tobytes() for part in pieces],
-            }
+        for columns, pieces, _ in _sampled(rows, vocabulary, samples):
+            yield {**columns, "ids": [part.astype("<i4").tobytes() for part in pieces]}
+
+    schema = f"{_SAMPLE}, ids binary"
+    return map_batches(_seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness))
+
 
-    kept = docs.select(
+_SAMPLE = (
+    "doc_id long, tag long, sample int, n_pieces long, log_prob double, perturbed double,"
+    " log_inclusion double"
+)
+
+
+def _seeded(docs: DataFrame) -> DataFrame:
+    return docs.select(
         "doc_id",
         F.xxhash64(whole("text")).alias("tag"),
         F.xxhash64("doc_id").alias("seed"),
         whole("text").alias("text"),
     )
-    schema = (
-        "doc_id long, tag long, sample int, n_pieces long, log_prob double, perturbed double,"
-        " log_inclusion double, ids binary"
+
+
+def _sampled(
+    rows: pa.RecordBatch, vocabulary: Vocabulary, samples: int
+) -> Iterator[tuple[dict, list[np.ndarray], list[str]]]:
+    """The columns of the samples of some texts, the ids of each, and its text."""
+    every = rows.column("text").to_pylist()
+    for first, last in chunks(every, _CHUNK):
+        texts = every[first:last]
+        seeds = rows.column("seed")[first:last].to_pylist()
+        found = sample_texts(vocabulary, texts, seeds, samples)
+        at, rank, log_p, value, inclusion, pieces = zip(*found)
+        row = pa.array(at)
+        columns = {
+            "doc_id": rows.column("doc_id")[first:last].take(row),
+            "tag": rows.column("tag")[first:last].take(row),
+            "sample": rank,
+            "n_pieces": [len(part) for part in pieces],
+            "log_prob": log_p,
+            "perturbed": value,
+            "log_inclusion": inclusion,
+        }
+        yield columns, list(pieces), [texts[i] for i in at]
+
+
+def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> str:
+    """The text of some ids; the blank that encoding put before it goes."""
+    return b"".join(map(vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode(
+        "utf-8", "replace"
     )
-    return map_batches(kept, batch, schema, lambda: Vocabulary(model, sharpness))
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` with its ids turned back into text; all other columns are kept."""
-    columns = [name for name in encoded.columns if name != "ids"]
+    """``encoded`` with its ``ids`` turned back into ``text``; all other columns are kept.
+
+    Null ids give a null text.
+    """
+    columns = [name for name in encoded.columns if name not in ("ids", "text")]
     fields = [f"`{name}` {encoded.schema[name].dataType.simpleString()}" for name in columns]
 
     def batch(rows: pa.RecordBatch, vocabulary: Vocabulary):
-        get = vocabulary.bytes_of.__getitem__
-        texts = []
-        for packed in rows.column("ids"):
-            ids = np.frombuffer(packed.as_buffer(), "<i4") if packed.is_valid else ()
-            texts.append(b"".join(map(get, ids))[1:].decode("utf-8", "replace"))
+        texts = [
+            None if ids is None else decoded(vocabulary, np.frombuffer(ids, "<i4"))
+            for ids in rows.column("ids").to_pylist()
+        ]
         yield {**{name: rows.column(name) for name in columns}, "text": texts}
 
     schema = ", ".join([*fields, "text string"])
-    return map_batches(encoded, batch, schema, lambda: Vocabulary(model))
+    return map_batches(
+        encoded.select(*columns, "ids"), batch, schema, lambda: Vocabulary(model)
+    )
 
 
-def digests(encoded: DataFrame, model: str) -> DataFrame:
-    """Each sample with a digest of its ids, and whether they decode to the text.
+def digests(
+    docs: DataFrame, model: str, samples: int = SAMPLES, sharpness: float = 1.0
+) -> DataFrame:
+    """The samples of ``encode``, decoded again where they are drawn, with a digest for ids.
 
-    Returns doc_id, sample, n_pieces, log_prob, perturbed, log_inclusion, ids_sha256 and
-    round_trip.
+    Returns doc_id, sample, n_pieces, log_prob, perturbed, log_inclusion, ids_sha256 (of
+    the ids as little-endian 32-bit numbers) and round_trip (they decode to the text).
     """
-    marked = encoded.withColumn("ids_sha256", F.sha2("ids", 256))
-    return decode(marked, model).select(
-        "doc_id",
-        "sample",
-        "n_pieces",
-        "log_prob",
-        "perturbed",
-        "log_inclusion",
-        "ids_sha256",
-        (F.xxhash64("text") == F.col("tag")).alias("round_trip"),
-    )
+
+    def batch(rows: pa.RecordBatch, vocabulary: Vocabulary):
+        for columns, pieces, texts in _sampled(rows, vocabulary, samples):
+            yield {
+                **columns,
+                "ids_sha256": [
+                    hashlib.sha256(part.astype("<i4").tobytes()).hexdigest() for part in pieces
+                ],
+                "round_trip": [
+                    decoded(vocabulary, part) == text for part, text in zip(pieces, texts)
+                ],
+            }
+
+    schema = f"{_SAMPLE}, ids_sha256 string, round_trip boolean"
+    return map_batches(
+        _seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness)
+    ).drop("tag")
