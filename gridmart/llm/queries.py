@@ -12,6 +12,7 @@ from gridmart.llm import (
     fingerprints,
     language,
     packing,
+    passages,
     repeats,
     segmentation,
     sharding,
@@ -40,6 +41,10 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(documents(spark, sf_dir))
 
 
+def op5_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(documents(spark, sf_dir), tokenizer)
