@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gridmart.llm.common import chunks, map_batches
+from gridmart.llm.common import chunks, map_arrow, map_batches
 
 WINDOW = 13
 
@@ -287,5 +287,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
             verdicts = [flag for part in judge(rows) for flag in part["contaminated"]]
             yield rows.filter(pa.array([not flag for flag in verdicts], pa.bool_()))
 
-    return docs.mapInArrow(run, types)
+    return map_arrow(docs, run, types)
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import chunks, map_batches, pa_schema, whole
+from gridmart.llm.common import chunks, map_arrow, map_batches, pa_schema, whole
 
 # Samples of a fingerprint, each of 16 bits: the likeness of two has a standard error of
 # at most 1 / (2 * sqrt(SAMPLES)).
@@ -254,4 +254,4 @@ def edited_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         if len(held) > 1:
             yield judged(held)
 
-    return with_next(docs).mapInArrow(run, schema)
+    return map_arrow(with_next(docs), run, schema)

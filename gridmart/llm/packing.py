@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import chunks, pa_schema, whole
+from gridmart.llm.common import chunks, map_arrow, pa_schema, whole
 from gridmart.llm.token_counts import units
 
 ROW_TOKENS = 2048
@@ -205,7 +205,7 @@ def pack(
             yield flush()
 
     kept = docs.select("doc_id", F.xxhash64("text").alias("tag"), whole("text").alias("text"))
-    return kept.mapInArrow(run, SCHEMA)
+    return map_arrow(kept, run, SCHEMA)
 
 
 def unpack(packed: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import forget, map_batches, row_key, stored, whole
+from gridmart.llm.common import forget, map_arrow, map_batches, row_key, stored, whole
 
 WINDOW = 200
 
@@ -397,4 +397,4 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             fields[place] = pa.array(texts, fields[place].type)
             yield pa.RecordBatch.from_arrays(fields, names=columns)
 
-    return joined.mapInArrow(run, docs.schema)
+    return map_arrow(joined, run, docs.schema)

@@ -31,7 +31,7 @@ from gridmart.llm.common import chunks, map_batches, whole
 SAMPLES = 2
 
 # Characters of texts whose units share one table of lattices.
-_CHUNK = 3 << 19
+_CHUNK = 1 << 19
 _SPACES = re.compile(r"\s ")
 _GOLDEN = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -86,7 +86,7 @@ class Vocabulary:
         keys = sorted((state << 21 | code, to) for (state, code), to in children.items())
         self.keys = np.array([key for key, _ in keys], np.int64)
         self.to = np.array([to for _, to in keys], np.int64)
-        self.first = np.zeros(1 << 21, np.int64)  # from the root, by code point
+        self.first = np.zeros(1 << 21, np.int32)  # from the root, by code point
         for (state, code), to in children.items():
             if not state:
                 self.first[code] = to
@@ -102,7 +102,7 @@ class Vocabulary:
         if not state.any():
             to = self.first[code]
             match = to > 0
-            return live[match], to[match]
+            return live[match], to[match].astype(np.int64)
         key = state << 21 | code
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         match = self.keys[at] == key

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import chunks, map_batches, whole
+from gridmart.llm.common import chunks, map_arrow, map_batches, whole
 
 LIMIT = 512
 
@@ -78,7 +78,9 @@ def frequent_units(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
             }
         )
 
-    offered = docs.select(whole("text").alias("text")).mapInArrow(count, "unit string, n long")
+    offered = map_arrow(
+        docs.select(whole("text").alias("text")), count, "unit string, n long"
+    )
     summed = offered.groupBy("unit").agg(F.sum("n").alias("n"))
     rows = summed.orderBy(F.desc("n"), "unit").limit(size).select("unit").collect()
     return [row["unit"] for row in rows]
