@@ -136,9 +136,9 @@ def search(corpus: list[list[bytes]], block: dict) -> dict[str, np.ndarray]:
         prefix = np.zeros((len(which), window), ">u4")
         view = np.lib.stride_tricks.sliding_window_view(block["tokens"], window)
         prefix[:, :size] = view[block["starts"][which], :size]
-        low = np.ascontiguousarray(prefix).view(f"S{4 * window}").ravel()
+        low = prefix.copy().view(f"S{4 * window}").ravel()
         prefix[:, size:] = 0xFFFFFFFF
-        high = np.ascontiguousarray(prefix).view(f"S{4 * window}").ravel()
+        high = prefix.view(f"S{4 * window}").ravel()
         begin = np.searchsorted(keys, low, "left")
         end = np.searchsorted(keys, high, "right")
         counts = end - begin
