@@ -467,6 +467,11 @@ def sorted_points(m: Market) -> DataFrame:
     return hourly.sorted_points(m.generation())
 
 
+@query
+def sorted_prices(m: Market) -> DataFrame:
+    return hourly.sorted_points(m.prices())
+
+
 @query
 def first_points(m: Market) -> DataFrame:
     return hourly.first_points(m.generation())
@@ -559,6 +564,7 @@ def run_all_days(m: Market) -> DataFrame:
     archive, root = (new_folder(m.spark, name) for name in ("archive", "run"))
     documents.land_documents(m.generation_documents(), f"{archive}/generation")
     documents.land_documents(m.price_documents(), f"{archive}/prices")
-    days = dt.date(2023, 12, 31), dt.date(2024, 1, 31)
+    both = m.generation().select(DAY).union(m.prices().select(DAY))
+    days = both.agg(F.min(DAY), F.max(DAY)).first()
     result = run_days(m.spark, archive, root, *days, strict=False)
     return result.models["hourly_energy_analysis"]

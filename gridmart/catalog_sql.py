@@ -527,7 +527,16 @@ ORACLE: dict[str, str] = {
         "SELECT psr_type, production_type, COUNT(*) AS rows FROM raw_gen GROUP BY ALL",
     ),
     "backfill_quality_by_day": _with("raw_gen", f"SELECT * FROM ({_QUALITY})"),
-    "sorted_points": _ALL_GEN,
+    "sorted_points": _with(
+        "gen",
+        f"""SELECT {_GEN_COLUMNS} FROM gen
+            ORDER BY psr_type, delivery_start_utc, gen.generation_mw, bidding_zone""",
+    ),
+    "sorted_prices": _with(
+        "price",
+        f"""SELECT {_PRICE_COLUMNS} FROM price
+            ORDER BY delivery_start_utc, price.price_eur_mwh, bidding_zone""",
+    ),
     "first_points": _with(
         "gen",
         f"""SELECT {_GEN_COLUMNS} FROM gen

@@ -14,21 +14,25 @@ from pyspark.sql import functions as F
 from gridmart.functions.values import or_raise
 from gridmart.schemas import DAY, DEFAULT_ZONE, START
 
-_RESOLUTION = r"\APT([0-9]{1,18})[MH]\z"
+_RESOLUTION = r"\APT([0-9]+)[MH]\z"
 _INSTANT = "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][XXX]"
 _HOUR_MICROS = 3_600_000_000
 
 
 def _amount(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, _RESOLUTION, 1), F.lit("")).cast("bigint")
+    """The number in the text; null if there is none, or one beyond any calendar."""
+    return F.nullif(F.regexp_extract(text, _RESOLUTION, 1), F.lit("")).try_cast("bigint")
 
 
 def resolution_minutes(text: Column, strict: bool = True) -> Column:
     """Minutes of a ``PT<n>M`` or ``PT<n>H`` text.
 
-    Null stays null; other text raises, or gives null if not ``strict``.
+    Null stays null; other text raises, or gives null if not ``strict``. So does a
+    step of zero, which makes no grid, and one of more minutes than an integer holds.
     """
-    minutes = _amount(text) * F.when(F.right(text, F.lit(1)) == "H", 60).otherwise(1)
+    unit = F.when(F.right(text, F.lit(1)) == "H", 60).otherwise(1)
+    minutes = F.try_multiply(_amount(text), unit).try_cast("int")
+    minutes = F.nullif(minutes.cast("bigint"), F.lit(0).cast("bigint"))
     return or_raise(minutes, text, "unsupported resolution: ") if strict else minutes
 
 
@@ -44,13 +48,15 @@ def resolution_code(text: Column, strict: bool = True) -> Column:
     numbers it keeps to hash aggregation. Amount, length and unit say it all.
     """
     hours = (F.right(text, F.lit(1)) == "H").cast("bigint")
-    code = (_amount(text) * 64 + F.length(text)) * 2 + hours
+    amount = F.try_multiply(_amount(text), F.lit(64))
+    code = F.try_add(F.try_multiply(F.try_add(amount, F.length(text)), F.lit(2)), hours)
     return or_raise(code, text, "unsupported resolution: ") if strict else code
 
 
 def code_minutes(code: Column) -> Column:
-    """The minutes of a resolution code."""
-    return F.shiftright(code, 7) * F.when(code % 2 == 1, 60).otherwise(1)
+    """The minutes of a resolution code; null for a step of zero, which has no grid."""
+    minutes = F.shiftright(code, 7) * F.when(code % 2 == 1, 60).otherwise(1)
+    return F.nullif(minutes, F.lit(0).cast("bigint"))
 
 
 def code_text(code: Column) -> Column:

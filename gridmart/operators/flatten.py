@@ -93,9 +93,14 @@ def complete_points(points: DataFrame) -> DataFrame:
     return points.filter(present(F.col("position")) & present(F.col("value")))
 
 
-def point_instant(start: Column, step: Column, position: Column) -> Column:
-    """Positions count from 1; nothing is filled in for positions left out."""
-    return start + step * (position - 1)
+def point_instant(start: Column, step: Column, position: Column, strict: bool = True) -> Column:
+    """Positions count from 1; nothing is filled in for positions left out.
+
+    An instant beyond the calendar raises, or is null if not ``strict``.
+    """
+    if strict:
+        return start + step * (position - 1)
+    return F.try_add(start, F.try_multiply(step, F.try_subtract(position, F.lit(1))))
 
 
 def _timed_points(periods: DataFrame, value: str, strict: bool) -> DataFrame:
@@ -112,7 +117,7 @@ def _timed_points(periods: DataFrame, value: str, strict: bool) -> DataFrame:
     )
     points = complete_points(explode_points(timed, value))
     instant = point_instant(
-        F.col("period_start"), F.col("step"), to_int(F.col("position"), strict)
+        F.col("period_start"), F.col("step"), to_int(F.col("position"), strict), strict
     )
     columns = {"delivery_start_utc": instant, "value": to_double(F.col("value"), strict)}
     if not strict:

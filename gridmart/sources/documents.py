@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 _FILE = "value string, delivery_date date"
 
+# A hundred years.
+_ANY_AGE = "36500d"
+
 # What identifies a fetch, oldest first when sorted.
 FETCH_ORDER = ["landed_at", "path"]
 
@@ -43,12 +46,18 @@ def read_documents(
 
 
 def stream_documents(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
-    """The documents that land under ``root``, as a stream."""
+    """The documents that land under ``root``, as a stream.
+
+    A file of any age is read, so an archive copied with its times, or an old day sent
+    again, is not lost: the file source would else pass over files a week older than the
+    newest it has seen.
+    """
     return _documents(
         spark.readStream.format("text")
         .schema(_FILE)
         .option("wholetext", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", _ANY_AGE)
         .load(root)
     )
 

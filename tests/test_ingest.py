@@ -200,3 +200,34 @@ def test_daily_run_stops_at_a_failing_rule(spark, folder):
     land(f"{archive}/prices", DAY, "a", price_document([(1, 1)]))
     with pytest.raises(ChecksFailed, match="interval_count.int_hourly_generation"):
         run_day(spark, archive, root, DAY)
+
+
+ODD_DOCUMENTS = {
+    "minutes": lambda: day_document([(1, 1)], resolution="PT99999999999M"),
+    "hours": lambda: day_document([(1, 1)], resolution="PT999999999999999999H"),
+    "digits": lambda: day_document([(1, 1)], resolution="PT99999999999999999999M"),
+    "zero": lambda: day_document([(1, 1)], resolution="PT0M"),
+    "low": lambda: day_document([(-2147483648, 1)]),
+    "high": lambda: day_document([(2147483647, 1)], resolution="PT240H"),
+}
+
+
+def test_odd_documents_are_left_out_and_good_ones_load(spark, places):
+    root, path = places
+    land(root, DAY, "good", day_document([(1, 7)], resolution="PT" + "0" * 20 + "15M"))
+    for name, text in ODD_DOCUMENTS.items():
+        land(root, DAY, name, text())
+    verdicts = run(spark, root, path, strict=False).collect()
+    errors = {r.path.rsplit("/", 1)[1][:-4]: r.error for r in verdicts}
+    assert errors == {"good": None, **dict.fromkeys(ODD_DOCUMENTS, "unreadable text")}
+    assert stored(spark, path) == [7.0]
+
+
+def test_stream_loads_files_of_any_age(spark, places):
+    root, path = places
+    now = 1_700_000_000
+    land(root, DAY, "new", day_document([(1, 1)]), at=now)
+    ingest_stream(spark, root, path, GENERATION).awaitTermination()
+    land(root, DAY, "old", day_document([(2, 2)]), at=now - 30 * 86400)
+    ingest_stream(spark, root, path, GENERATION).awaitTermination()
+    assert stored(spark, path) == [1.0, 2.0]
