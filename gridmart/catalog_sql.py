@@ -2,7 +2,59 @@
 
 from __future__ import annotations
 
-from gridmart.plans.quality import NOT_NULL, UNIQUE
+# Columns that must not be null, and keys, as the data model names them. They
+# are written down here again, so that a rule lost from the package shows up.
+NOT_NULL = {
+    "stg_generation": [
+        "delivery_start_utc",
+        "generation_mw",
+        "bidding_zone",
+        "psr_type",
+        "production_type",
+        "delivery_date_local",
+    ],
+    "stg_prices": [
+        "delivery_start_utc",
+        "price_eur_mwh",
+        "bidding_zone",
+        "delivery_date_local",
+    ],
+    "int_hourly_generation": [
+        "bidding_zone",
+        "psr_type",
+        "production_type",
+        "hour_start_utc",
+        "average_generation_mw",
+        "intervals_available",
+    ],
+    "int_hourly_prices": [
+        "bidding_zone",
+        "hour_start_utc",
+        "average_price_eur_mwh",
+        "intervals_available",
+    ],
+    "hourly_generation_prices": [
+        "bidding_zone",
+        "hour_start_utc",
+        "psr_type",
+        "production_type",
+        "average_price_eur_mwh",
+        "average_generation_mw",
+        "generation_intervals_available",
+        "price_intervals_available",
+    ],
+}
+_GEN_KEY = ["delivery_start_utc", "bidding_zone", "psr_type"]
+_PRICE_KEY = ["delivery_start_utc", "bidding_zone"]
+_GEN_HOUR_KEY = ["bidding_zone", "hour_start_utc", "psr_type"]
+_HOUR_KEY = ["bidding_zone", "hour_start_utc"]
+UNIQUE = {
+    "stg_generation": _GEN_KEY,
+    "stg_prices": _PRICE_KEY,
+    "int_hourly_generation": _GEN_HOUR_KEY,
+    "int_hourly_prices": _HOUR_KEY,
+    "hourly_generation_prices": _GEN_HOUR_KEY,
+}
 
 _LOCAL = "timezone('Europe/Rome', timezone('UTC', delivery_start_utc))"
 _DAY_START = "timezone('UTC', timezone('Europe/Rome', CAST({day} AS TIMESTAMP)))"
@@ -185,9 +237,6 @@ def _excess(rows: str, keys: list[str]) -> str:
     return f"SELECT CAST(COALESCE(SUM(duplicate_count - 1), 0) AS BIGINT) FROM ({_dup(rows, keys)})"
 
 
-_GEN_KEY, _PRICE_KEY = UNIQUE["stg_generation"], UNIQUE["stg_prices"]
-_GEN_HOUR_KEY, _HOUR_KEY = UNIQUE["int_hourly_generation"], UNIQUE["int_hourly_prices"]
-
 # --- documents ------------------------------------------------------------------------
 
 _FLAT = f"""

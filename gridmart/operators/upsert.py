@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.sources.tables import DayTable, on_days_of
+from gridmart.sources.tables import DayTable, listed_days, remove_folder
 
 
 class BatchRefused(ValueError):
@@ -41,13 +41,12 @@ def upsert(table: DayTable, batch: DataFrame) -> None:
     written. The last batch wins, whatever its revision. Repeating it is harmless.
     """
     table.create_if_absent()
-    staged = table.stage(batch.select(*table.columns))
-    if not refused_keys(staged, table.key).isEmpty():
-        raise BatchRefused(f"repeated or null values of {', '.join(table.key)} in the batch")
-    merge_staged(table, staged)
-
-
-def merge_staged(table: DayTable, staged: DataFrame) -> None:
-    """Merge rows that are stored and have been checked already."""
-    target = on_days_of(table.read(), staged)
-    table.replace_days(merge_rows(target, staged.select(*table.columns), table.key))
+    table.finish_swaps()
+    folder, staged = table.stage(batch.select(*table.columns))
+    try:
+        if not refused_keys(staged, table.key).isEmpty():
+            raise BatchRefused(f"repeated or null values of {', '.join(table.key)} in the batch")
+        target = table.read_days(listed_days(staged))
+        table.replace_days(merge_rows(target, staged, table.key))
+    finally:
+        remove_folder(table.spark, folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,10 +12,15 @@ from pyspark.sql import functions as F
 from gridmart.functions.calendar import add_local_columns, in_day
 from gridmart.operators import checks, flatten
 from gridmart.operators.keys import latest_rows
-from gridmart.operators.upsert import merge_staged
 from gridmart.schemas import DEFAULT_ZONE, START
 from gridmart.sources.documents import FETCH_ORDER
-from gridmart.sources.tables import DayTable, generation_table, price_table
+from gridmart.sources.tables import (
+    DayTable,
+    generation_table,
+    listed_days,
+    price_table,
+    remove_folder,
+)
 
 
 class DocumentsRejected(ValueError):
@@ -74,19 +80,27 @@ def ingest(
     spark = docs.sparkSession
     table = feed.table(spark, path)
     table.create_if_absent()
+    table.finish_swaps()
 
     # Texts are parsed once; all that follows reads the stored points.
-    points_path, verdict_path = f"{path}_points/run={run}", f"{path}_verdicts/run={run}"
-    day_points(docs, feed, strict, zone).write.mode("overwrite").parquet(points_path)
-    points = spark.read.parquet(points_path)
-
-    document_verdicts(docs, points, feed).write.mode("overwrite").parquet(verdict_path)
-    verdicts = spark.read.parquet(verdict_path)
-    rejected = verdicts.filter("error IS NOT NULL").select("path")
-    if strict and not rejected.isEmpty():
-        raise DocumentsRejected(f"see {verdict_path}")
-
-    good = points.join(rejected, "path", "left_anti")
-    batch = latest_rows(good.select(*table.columns, *FETCH_ORDER), table.key, FETCH_ORDER)
-    merge_staged(table, table.stage(batch.select(*table.columns)))
+    points_path = f"{path}_points/{uuid.uuid4().hex}"
+    verdict_path = f"{path}_verdicts/run={run}"
+    try:
+        day_points(docs, feed, strict, zone).write.parquet(points_path)
+        points = spark.read.parquet(points_path)
+
+        document_verdicts(docs, points, feed).write.mode("overwrite").parquet(verdict_path)
+        verdicts = spark.read.parquet(verdict_path)
+        rejected = verdicts.filter("error IS NOT NULL").select("path")
+        if strict and not rejected.isEmpty():
+            raise DocumentsRejected(f"see {verdict_path}")
+
+        good = points.join(rejected, "path", "left_anti").select(*table.columns, *FETCH_ORDER)
+        days = listed_days(verdicts.filter("error IS NULL"), "delivery_date")
+        # A stored row is older than any document.
+        old = table.read_days(days).select("*", *[F.lit(None).alias(n) for n in FETCH_ORDER])
+        merged = latest_rows(good.unionByName(old), table.key, FETCH_ORDER)
+        table.replace_days(merged)
+    finally:
+        remove_folder(spark, points_path)
     return verdicts

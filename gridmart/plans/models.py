@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridmart.functions.calendar import fixed_hours, local_date
 from gridmart.operators import hourly
 from gridmart.schemas import DAY, DEFAULT_ZONE, HOURLY_GENERATION, HOURLY_PRICES
-from gridmart.sources.tables import days_between, write_days
+from gridmart.sources.tables import calendar_days, read_days, write_days
 
 # model -> schema and order of its stored rows
 _STORED = {
@@ -79,8 +79,9 @@ def stored_models(
     """
     tables = []
     for name, (schema, _) in _STORED.items():
-        rows = spark.read.schema(schema).parquet(f"{root}/{name}")
         if first is not None and last is not None:
-            rows = days_between(rows, first, last)
+            rows = read_days(spark, f"{root}/{name}", schema, calendar_days(first, last))
+        else:
+            rows = spark.read.schema(schema).parquet(f"{root}/{name}")
         tables.append(rows.drop(DAY))
     return analysis_models(*tables)

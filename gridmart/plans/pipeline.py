@@ -15,7 +15,7 @@ from gridmart.schemas import DEFAULT_ZONE
 from gridmart.session import prepare
 from gridmart.sources.documents import read_documents
 from gridmart.sources.exports import write_price_csv
-from gridmart.sources.tables import days_between
+from gridmart.sources.tables import calendar_days
 
 
 @dataclass(frozen=True)
@@ -46,24 +46,28 @@ def run_days(
     """One run for all days in [first, last], at the cost of those days only.
 
     Points go to ``<root>/generation`` and ``<root>/prices``, hours below
-    ``<root>/hourly``, the export below ``<root>/csv``. The hourly models returned
+    ``<root>/hourly``, rule outcomes below ``<root>/rules``, the export below
+    ``<root>/csv``. The hourly models returned
     cover all stored days. The rules look at the rows of the run: a key holds its
     day, so a repeated key cannot hide in another one.
     """
     prepare(spark)
+    days = calendar_days(first, last)
     verdicts = {
         feed.name: _load(spark, archive, root, feed, first, last, zone, strict)
         for feed in (GENERATION, PRICES)
     }
     points = {
-        feed.name: days_between(feed.table(spark, f"{root}/{feed.name}").read(), first, last)
+        feed.name: feed.table(spark, f"{root}/{feed.name}").read_days(days)
         for feed in (GENERATION, PRICES)
     }
     fresh = build_models(points["generation"], points["prices"])
-    days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
     hours = f"{root}/hourly"
     store_hourly(fresh, hours, days, zone)
-    rules = quality.rule_summary({**fresh, **stored_models(spark, hours, first, last)}, zone)
+    rules_path = f"{root}/rules/run={first:%Y%m%d}-{last:%Y%m%d}"
+    checked = {**fresh, **stored_models(spark, hours, first, last)}
+    quality.rule_summary(checked, zone).write.mode("overwrite").parquet(rules_path)
+    rules = spark.read.parquet(rules_path)
     if strict:
         quality.require_passed(rules)
     write_price_csv(points["prices"], f"{root}/csv")

@@ -12,7 +12,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.sources.tables import calendar_days, day_folders
+
 _FILE = "value string, delivery_date date"
+_DOCUMENT = "document string, delivery_date date, landed_at timestamp, path string"
 
 # A hundred years.
 _ANY_AGE = "36500d"
@@ -36,8 +39,14 @@ def read_documents(
     first: dt.date | None = None,
     last: dt.date | None = None,
 ) -> DataFrame:
-    """Documents of the days in [first, last]; other day folders are not read."""
-    files = spark.read.format("text").schema(_FILE).option("wholetext", True).load(root)
+    """Documents of the days in [first, last]; with both, other day folders are not even listed."""
+    reader = spark.read.format("text").schema(_FILE).option("wholetext", True)
+    if first is not None and last is not None:
+        folders = day_folders(spark, root, "delivery_date", calendar_days(first, last))
+        if not folders:
+            return spark.createDataFrame([], _DOCUMENT)
+        return _documents(reader.option("basePath", root).load(folders))
+    files = reader.load(root)
     if first is not None:
         files = files.filter(F.col("delivery_date") >= F.lit(first))
     if last is not None:

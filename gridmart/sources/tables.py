@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +19,8 @@ from gridmart.schemas import (
     column_names,
 )
 
-# Days are listed on the driver to prune partitions; beyond this many, their range is used.
-MAX_LISTED_DAYS = 4000
+# Marks a folder of new days as whole.
+_WHOLE = "_WHOLE"
 
 
 @dataclass(frozen=True)
@@ -30,10 +32,6 @@ class DayTable:
     schema: str
     key: list[str]
 
-    @property
-    def staging_path(self) -> str:
-        return f"{self.path}_staging"
-
     def create_if_absent(self) -> None:
         """An empty table of the declared shape, unless there already is a table."""
         empty = self.spark.createDataFrame([], self.schema)
@@ -46,23 +44,52 @@ class DayTable:
     def columns(self) -> list[str]:
         return column_names(self.schema)
 
-    def stage(self, batch: DataFrame) -> DataFrame:
-        """Replace the staging table by the batch, and read it from there.
+    def read_days(self, days: Iterable[dt.date]) -> DataFrame:
+        return read_days(self.spark, self.path, self.schema, days).select(*self.columns)
+
+    def stage(self, batch: DataFrame) -> tuple[str, DataFrame]:
+        """Write the batch to a folder of its own; the folder, and the rows read from there.
 
         What follows (checks, match, write) reads stored rows, so a lost executor
         never makes Spark parse the documents again.
         """
-        batch.write.mode("overwrite").parquet(self.staging_path)
-        return self.spark.read.schema(batch.schema).parquet(self.staging_path)
+        folder = f"{self.path}_staging/{uuid.uuid4().hex}"
+        batch.write.parquet(folder)
+        return folder, self.spark.read.schema(batch.schema).parquet(folder)
 
     def replace_days(self, rows: DataFrame) -> None:
-        """Replace exactly the days that occur in ``rows``."""
-        write_days(rows.select(*self.columns), self.path, DAY, self.key)
+        """Replace exactly the days that occur in ``rows``, which may be read from the table.
+
+        Spark removes an old partition before it moves the new one in, so the new days are
+        first stored whole beside the table. If the run is cut short after that, the next
+        one places them (``finish_swaps``); before that, the table is untouched.
+        """
+        folder = f"{self._pending}/{uuid.uuid4().hex}"
+        rows.select(*self.columns).write.partitionBy(DAY).parquet(folder)
+        files, mark = _files(self.spark, f"{folder}/{_WHOLE}")
+        files.create(mark).close()
+        self._place(folder)
 
+    def finish_swaps(self) -> None:
+        """Place the days that a run stored whole but did not live to place.
 
-def days_between(rows: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """The rows of the days in [first, last]; other partitions are not read."""
-    return rows.filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+        A table has one writer at a time. Folders without their mark are never read.
+        """
+        if _exists(self.spark, self._pending):
+            files, pending = _files(self.spark, self._pending)
+            for status in files.listStatus(pending):
+                folder = status.getPath().toString()
+                if _exists(self.spark, f"{folder}/{_WHOLE}"):
+                    self._place(folder)
+
+    @property
+    def _pending(self) -> str:
+        return f"{self.path}_pending"
+
+    def _place(self, folder: str) -> None:
+        rows = self.spark.read.schema(self.schema).parquet(folder)
+        write_days(rows.select(*self.columns), self.path, DAY, self.key)
+        remove_folder(self.spark, folder)
 
 
 def generation_table(spark: SparkSession, path: str) -> DayTable:
@@ -90,16 +117,40 @@ def write_days(rows: DataFrame, path: str, day: str, order: list[str]) -> None:
 
 
 def listed_days(rows: DataFrame, day: str = DAY) -> list[dt.date]:
-    """The days in ``rows``, or as many as show that there are too many to list."""
-    days = rows.select(day).distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return sorted(row[0] for row in days)
-
-
-def on_days_of(rows: DataFrame, batch: DataFrame, day: str = DAY) -> DataFrame:
-    """The rows of ``rows`` on any day of ``batch``, reading only those partitions."""
-    days = listed_days(batch, day)
-    if len(days) <= MAX_LISTED_DAYS:
-        return rows.filter(F.col(day).isin(days))
-    edges = batch.agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
-    between = rows.filter(F.col(day).between(F.lit(edges["low"]), F.lit(edges["high"])))
-    return between.join(batch.select(day).distinct(), day, "left_semi")
+    """The days in ``rows``, of which a calendar holds few."""
+    return sorted(row[0] for row in rows.select(day).distinct().collect())
+
+
+def day_folders(spark: SparkSession, path: str, day: str, days: Iterable[dt.date]) -> list[str]:
+    """The partition folders of ``days`` below ``path`` that exist; no other is looked at."""
+    folders = [f"{path}/{day}={date.isoformat()}" for date in days]
+    return [folder for folder in folders if _exists(spark, folder)]
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: str, days: Iterable[dt.date], day: str = DAY
+) -> DataFrame:
+    """The rows of some days, whose folders alone are listed and read."""
+    folders = day_folders(spark, path, day, days)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def calendar_days(first: dt.date, last: dt.date) -> list[dt.date]:
+    return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _files(spark, path)
+    files.delete(folder, True)
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _files(spark, path)
+    return files.exists(folder)

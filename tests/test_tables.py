@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gridmart.operators.keys import latest_rows
 from gridmart.operators.upsert import BatchRefused, upsert
 from gridmart.sources import exports, tables
-from gridmart.sources.tables import on_days_of
 from test_models import generation, prices
 
 
@@ -73,14 +72,32 @@ def test_refused_batches(spark, table, points):
     assert table.read().count() == 0
 
 
-def test_more_days_than_are_listed(spark, monkeypatch):
-    rows = generation(spark, *[(f"2026-01-{d:02d}T10:00", float(d), "A", "B16") for d in range(1, 10)])
-    batch = rows.filter("day(delivery_date_local) IN (2, 5, 7)")
-    listed = on_days_of(rows, batch)
-    monkeypatch.setattr(tables, "MAX_LISTED_DAYS", 2)
-    ranged = on_days_of(rows, batch)
-    for frame in (listed, ranged):
-        assert sorted(r.generation_mw for r in frame.collect()) == [2.0, 5.0, 7.0]
+def test_only_wanted_days_are_listed(spark, table):
+    upsert(table, generation(spark, *[(f"2026-01-{d:02d}T10:00", float(d), "A", "B16") for d in range(1, 21)]))
+    some = table.read_days([dt.date(2026, 1, d) for d in (2, 5, 7)] + [dt.date(2030, 1, 1)])
+    assert sorted(r.generation_mw for r in some.collect()) == [2.0, 5.0, 7.0]
+    assert "InMemoryFileIndex(3 paths)" in some._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert table.read_days([dt.date(2030, 1, 1)]).count() == 0
+
+
+def test_swap_cut_short_is_finished_by_the_next_run(spark, table, monkeypatch):
+    upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16"), ("2026-01-05T11:00", 2.0, "A", "B16")))
+
+    def cut(rows, path, day, order):
+        for folder in glob.glob(f"{path}/{day}=2026-01-05"):
+            for name in os.listdir(folder):
+                os.remove(f"{folder}/{name}")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_days", cut)
+        with pytest.raises(KeyboardInterrupt):
+            upsert(table, generation(spark, ("2026-01-05T10:00", 9.0, "A", "B16")))
+    assert values(table) == {}
+    upsert(table, generation(spark, ("2026-01-06T10:00", 3.0, "A", "B16")))
+    assert values(table) == {("B16", 5, 10): 9.0, ("B16", 5, 11): 2.0, ("B16", 6, 10): 3.0}
+    assert os.listdir(f"{table.path}_pending") == [] == os.listdir(f"{table.path}_staging")
 
 
 def test_latest_rows(spark):
