@@ -47,9 +47,8 @@ def run_days(
 
     Points go to ``<root>/generation`` and ``<root>/prices``, hours below
     ``<root>/hourly``, rule outcomes below ``<root>/rules``, the export below
-    ``<root>/csv``. The hourly models returned
-    cover all stored days. The rules look at the rows of the run: a key holds its
-    day, so a repeated key cannot hide in another one.
+    ``<root>/csv``. The hourly models returned cover all stored days. The rules look at
+    the rows of the run: a key holds its day, so a repeated key cannot hide in another one.
     """
     prepare(spark)
     days = calendar_days(first, last)
