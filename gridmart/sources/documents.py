@@ -45,8 +45,9 @@ def read_documents(
         folders = day_folders(spark, root, "delivery_date", calendar_days(first, last))
         if not folders:
             return spark.createDataFrame([], _DOCUMENT)
-        return _documents(reader.option("basePath", root).load(folders))
-    files = reader.load(root)
+        files = reader.option("basePath", root).load(folders)
+    else:
+        files = reader.load(root)
     if first is not None:
         files = files.filter(F.col("delivery_date") >= F.lit(first))
     if last is not None:

@@ -78,6 +78,7 @@ def test_archive_days_are_pruned(spark, folder):
     documents.land_documents(docs, folder)
     frame = documents.read_documents(spark, folder, dt.date(2026, 1, 2), dt.date(2026, 1, 2))
     assert "PartitionFilters: [isnotnull(delivery_date" in plan(frame)
+    assert "delivery_date=2026-01-02]" in plan(frame) and "2026-01-01]" not in plan(frame)
     assert frame.count() == 1
 
 
