@@ -157,6 +157,7 @@ class Lattices:
         self.source, self.target = source[order], target[order]
         self.piece, weight = piece[order], weight[order]
         nodes = len(codes) + len(parts)
+        del source, target, piece, order, unit, node, left, live, state
         self.begin = np.append(0, np.cumsum(np.bincount(self.source, minlength=nodes)))
         self._weigh(weight, nodes, lengths)
 
@@ -179,6 +180,7 @@ class Lattices:
             total = np.add.reduceat(np.exp(value - np.repeat(top, counts)), starts)
             after[here[starts]] = top + np.log(total)
             paths[here[starts]] = np.add.reduceat(paths[to], starts)
+        del left, order, source, target, weights
         self.paths = paths
         self.log_p = weight + after[self.target] - after[self.source]
         chance = np.exp(self.log_p)
