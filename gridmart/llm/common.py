@@ -14,6 +14,9 @@ from pyspark.sql.types import StructType
 from gridmart.session import new_folder
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -26,10 +29,17 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the folder all executors share, and read it from there.
 
     It cuts the lineage: a lost executor costs the tasks it held, not the steps before.
+    The shuffle files of the job go when it has ended, not when the driver next happens
+    to collect its garbage.
     """
     spark = frame.sparkSession
     folder = new_folder(spark, f"llm-{name}")
-    frame.write.parquet(folder)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
