@@ -298,8 +298,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whose hot ones the engine may split, and never pair members of a group.
     """
     anchors = stored(_run_table(docs, window), "anchors")
+    # The keys are stored so that the join has its own shuffle, whose hot keys Spark may split.
     several = anchors.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
-    near = stored(anchors.join(several.select("anchor"), "anchor", "left_semi"), "near")
+    several = stored(several.select("anchor"), "several")
+    near = stored(anchors.join(several, "anchor", "left_semi"), "near")
     forget(anchors)
 
     member = F.min(F.struct("_id", "_tag", "start", "n", "gap"))
@@ -312,7 +314,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     kinds = runs.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    unlike = runs.join(kinds.select("anchor"), "anchor", "left_semi").select(
+    kinds = stored(kinds.select("anchor"), "kinds")
+    unlike = runs.join(kinds, "anchor", "left_semi").select(
         "of.*", (F.col("c") > 1).alias("known")
     )
     asked = unlike.groupBy("_id", "_tag").agg(
