@@ -303,6 +303,35 @@ def test_languages(spark, docs, empty):
     assert language.accepted(docs).columns == docs.columns
 
 
+def test_short_texts_get_their_language():
+    words = {
+        "de": "der und wort zeit ein haus nicht über wasser straße",
+        "en": "the and word time one house with over water street",
+        "fr": "le et mot temps une maison avec été eau où",
+    }
+    rng = random.Random(3)
+    contents = {
+        name: " ".join(rng.choice(text.split()) for _ in range(5000)).encode()
+        for name, text in words.items()
+    }
+    coder = language.Coder(contents)
+    for name, text in words.items():
+        for size in (1, 2, 3, 5):
+            cuts = [" ".join(rng.choice(text.split()) for _ in range(size)) for _ in range(10)]
+            sizes = [sorted(coder.sizes(cut.encode())) for cut in cuts]
+            assert size > 2 or any(a == b for a, b, *_ in sizes)
+            found = coder.judge(cuts)
+            assert [(one[0], one[3]) for one in found] == [(name, False)] * len(cuts)
+            assert found == [coder.judge([cut])[0] for cut in cuts]
+    odd = coder.judge(["中文", None, "12 !", "\ud800"])
+    assert [(one[0], one[3]) for one in odd] == [("und", True)] * 4
+    assert language.Coder({}).judge(["word"]) == [("und", 0.0, 0.0, True)]
+    one = language.Coder({"en": contents["en"]}).judge(["the word", "the word " * 100])
+    assert [(found[0], found[3]) for found in one] == [("en", False)] * 2
+    same = language.Coder({"a": contents["en"], "b": contents["en"]})
+    assert all(found[3] for found in same.judge(["the word", "the word " * 100]))
+
+
 def test_shards(docs, rows, empty):
     found = sharding.shard(docs, sharding.even_tree(8), sharding.even_tree(9)).collect()
     assert ordered((r.doc_id, r.size, r.text_crc32) for r in found) == ordered(
