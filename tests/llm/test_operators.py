@@ -215,6 +215,37 @@ def test_near_passages(spark, empty):
     assert collected(passages.near_passages(empty)) == []
 
 
+@pytest.fixture(scope="module")
+def short_passages(spark):
+    """Pairs of texts that share 51 words but for one in their middle, and nothing else."""
+    rng, texts = random.Random(5), {}
+    draw = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    for i in range(0, 120, 2):
+        base = draw(51)
+        for doc_id, middle in ((i, base[25]), (i + 1, "edited")):
+            shared = [*base[:25], middle, *base[26:]]
+            texts[doc_id] = draw(rng.randrange(80)) + shared + draw(rng.randrange(80))
+    rows = [(i, " ".join(text)) for i, text in texts.items()]
+    return texts, spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+
+
+def test_passages_are_compared_where_they_align(short_passages):
+    texts, frame = short_passages
+
+    def shingles_of(doc_id, start):
+        words = texts[doc_id][start : start + 50]
+        assert len(words) == 50
+        return {tuple(words[i : i + 5]) for i in range(46)}
+
+    found = passages.links(frame).collect()
+    for r in found:
+        assert r.last - r.start == r.to_last - r.to_start >= 0 and r._id // 2 == r.to_id // 2
+        for more in range(r.last - r.start + 1):
+            one, to = shingles_of(r._id, r.start + more), shingles_of(r.to_id, r.to_start + more)
+            assert len(one & to) / len(one | to) >= 0.8
+    assert len({r._id // 2 for r in found}) >= 0.9 * len(texts) / 2
+
+
 def test_token_counts(docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
