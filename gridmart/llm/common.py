@@ -69,6 +69,22 @@ def row_key(tag: Column) -> list[Column]:
     ]
 
 
+def once(docs: DataFrame, tag: Column) -> tuple[DataFrame, DataFrame]:
+    """``_id``, ``_tag`` and whole ``text`` of each document, copies of a row only once;
+    and, stored, those that have copies.
+
+    Only keys are counted, and only the copies are grouped, with a partial result on each
+    map task: a key with very many copies leaves it as one row.
+    """
+    keys = ["_id", "_tag"]
+    keyed = docs.select(*row_key(tag), whole("text").alias("text"))
+    counted = docs.select(*row_key(tag)).groupBy(keys).agg(F.count("*").alias("c"))
+    several = stored(counted.filter("c > 1").select(keys), "copied")
+    copied = keyed.join(several, keys, "left_semi").dropDuplicates(keys)
+    copied = stored(copied, "copies")
+    return keyed.join(several, keys, "left_anti").union(copied), copied
+
+
 def on_keys(left: str, right: str, keys: Iterable[str]) -> Column:
     """Equality of the keys of two aliased tables, null meeting null."""
     condition = F.lit(True)

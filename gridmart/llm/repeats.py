@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import forget, map_arrow, map_batches, row_key, stored, whole
+from gridmart.llm.common import forget, map_arrow, map_batches, once, row_key, stored, whole
 
 WINDOW = 200
 
@@ -154,10 +154,6 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [text.encode("utf-8", "surrogatepass") for text in column.to_pylist()]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(*row_key(F.hash("text")), whole("text").alias("text"))
-
-
 _KEY = "_id long, _tag int"
 
 
@@ -169,7 +165,7 @@ def _run_table(docs: DataFrame, window: int) -> DataFrame:
             yield {"_id": ids[text], "_tag": tags[text], **found}
 
     schema = f"{_KEY}, start long, n int, gap int, anchor long, run long"
-    return map_batches(_keyed(docs), batch, schema)
+    return map_batches(docs, batch, schema)
 
 
 def _block_table(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
@@ -235,7 +231,7 @@ def _block_table(docs: DataFrame, asked: DataFrame, window: int) -> DataFrame:
                 "after": right,
             }
 
-    joined = _keyed(docs).join(asked, ["_id", "_tag"])
+    joined = docs.join(asked, ["_id", "_tag"])
     schema = (
         f"{_KEY}, start long, n int, number int, low int, known boolean, one long, two long,"
         " before binary, after binary"
@@ -295,8 +291,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     lie within one document and may overlap. Anchors, runs, cores and windows are counted
     by aggregates with a partial sum in each map task, so copies and frequent passages
     reach a shuffle as one row a task; the joins after it are on single counted keys,
-    whose hot ones the engine may split, and never pair members of a group.
+    whose hot ones the engine may split, and never pair members of a group. Copies of a
+    row are one document, all of whose windows repeat.
     """
+    docs, copied = once(docs, F.hash("text"))
+    windows = F.octet_length("text").cast("long") - window + 1
+    copied = copied.select("_id", "_tag", F.lit(0).cast("long").alias("start"), windows.alias("n"))
     anchors = stored(_run_table(docs, window), "anchors")
     # The keys are stored so that the join has its own shuffle, whose hot keys Spark may split.
     several = anchors.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1")
@@ -324,6 +324,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     blocks = stored(_block_table(docs, asked, window), "blocks")
     return (
         settled.union(_repeated_in_blocks(blocks, window))
+        .union(copied.filter("n > 0"))
         .groupBy("_id", "_tag")
         .agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     )

@@ -246,6 +246,32 @@ def test_passages_are_compared_where_they_align(short_passages):
     assert len({r._id // 2 for r in found}) >= 0.9 * len(texts) / 2
 
 
+def test_copies_of_a_row_are_one_document(spark, monkeypatch):
+    rng = random.Random(9)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
+    rows = [(None, text)] * 200 + [(7, "short")] * 3 + [(8, text[:900]), (9, "other " * 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = {r._id: len(r.spans) for r in repeats.repeated_windows(frame).collect()}
+    assert spans.keys() == {-1, 8} and max(spans.values()) < 200
+    assert ordered(collected(repeats.repeats(frame))) == ordered(simple_repeats(rows, 200))
+
+    most, places = [], passages._places
+
+    def counted(near, passage):
+        copies = near.groupBy("_id", "_tag", "hash", "l", "c", "r").count()
+        most.append(copies.agg({"count": "max"}).first()[0])
+        return places(near, passage)
+
+    monkeypatch.setattr(passages, "_places", counted)
+    found = passages.near_passages(frame).collect()
+    assert most == [1]
+    shared = collections.Counter((r.doc_id, r.n_shared) for r in found)
+    (cut,) = [r.n_shared for r in found if r.doc_id == 8]
+    assert shared == {(None, 300): 200, (7, 0): 3, (8, cut): 1, (9, 0): 1} and cut > 100
+    rows = spark.createDataFrame([(None, text)] * 2, "doc_id long, text string")
+    assert [r.n_shared for r in passages.near_passages(rows).collect()] == [300, 300]
+
+
 def test_token_counts(docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
