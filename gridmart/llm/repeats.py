@@ -154,7 +154,7 @@ def _utf8(column: pa.Array) -> list[bytes]:
     return [text.encode("utf-8", "surrogatepass") for text in column.to_pylist()]
 
 
-_KEY = "_id long, _tag int"
+_KEY = "_id long, _tag long"
 
 
 def _run_table(docs: DataFrame, window: int) -> DataFrame:
@@ -294,7 +294,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     whose hot ones the engine may split, and never pair members of a group. Copies of a
     row are one document, all of whose windows repeat.
     """
-    docs, copied = once(docs, F.hash("text"))
+    docs, copied = once(docs, F.xxhash64("text"))
     windows = F.octet_length("text").cast("long") - window + 1
     copied = copied.select("_id", "_tag", F.lit(0).cast("long").alias("start"), windows.alias("n"))
     anchors = stored(_run_table(docs, window), "anchors")
@@ -370,7 +370,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             "kept_sha256": [hashlib.sha256(rest).hexdigest() for rest in kept],
         }
 
-    keyed = docs.select("doc_id", *row_key(F.hash("text")), whole("text").alias("text"))
+    keyed = docs.select("doc_id", *row_key(F.xxhash64("text")), whole("text").alias("text"))
     joined = keyed.join(spans, ["_id", "_tag"], "left").select("doc_id", "text", "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return map_batches(joined, batch, schema)
@@ -384,7 +384,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     spans = repeated_windows(docs, window)
     columns = docs.columns
-    keyed = docs.select(F.struct(*columns).alias("_row"), *row_key(F.hash("text")))
+    keyed = docs.select(F.struct(*columns).alias("_row"), *row_key(F.xxhash64("text")))
     joined = keyed.join(spans, ["_id", "_tag"], "left").select("_row", "spans")
     place = columns.index("text")
 

@@ -272,6 +272,27 @@ def test_copies_of_a_row_are_one_document(spark, monkeypatch):
     assert [r.n_shared for r in passages.near_passages(rows).collect()] == [300, 300]
 
 
+def test_texts_without_id_are_told_apart(spark):
+    """A long and a short text of one 32-bit hash."""
+    words = " ".join(f"v{i}" for i in range(100))
+    made = spark.range(800000).selectExpr(
+        "id", f"IF(id % 2 = 0, concat('{words} ', id), concat('short ', id)) AS text", "hash(text) AS h"
+    )
+    both = made.groupBy("h").agg(
+        {"text": "max", "id": "count"}
+    ).filter("`count(id)` > 1 AND `max(text)` LIKE 'v0 %'")
+    pairs = made.join(both, "h").orderBy("h", "text").select("h", "text").collect()
+    texts = collections.defaultdict(list)
+    for r in pairs:
+        texts[r.h].append(r.text)
+    short, long = next(t for t in texts.values() if t[0][0] == "s" and t[-1][0] == "v")
+    rows = [(None, long), (None, short), (1, words + " end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ordered(collected(repeats.repeats(frame))) == ordered(simple_repeats(rows, 200))
+    found = {(r.doc_id, r.n_words): r.n_shared for r in passages.near_passages(frame).collect()}
+    assert found == {(None, 101): 101, (None, 2): 0, (1, 101): 101}
+
+
 def test_token_counts(docs, rows, empty):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
