@@ -568,25 +568,25 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 def digests(
     docs: DataFrame, model: str, samples: int = SAMPLES, sharpness: float = 1.0
 ) -> DataFrame:
-    """The samples of ``encode``, decoded again where they are drawn, with a digest for ids.
+    """The samples of ``encode``, decoded again where they are drawn, with a digest of the ids.
 
-    Returns doc_id, sample, n_pieces, log_prob, perturbed, log_inclusion, ids_sha256 (of
-    the ids as little-endian 32-bit numbers) and round_trip (they decode to the text).
+    Returns doc_id, sample, n_pieces, log_prob, perturbed, log_inclusion, ids (little-endian
+    32-bit numbers), ids_sha256 (of these) and round_trip (they decode to the text).
     """
 
     def batch(rows: pa.RecordBatch, vocabulary: Vocabulary):
         for columns, pieces, texts in _sampled(rows, vocabulary, samples):
+            ids = [part.astype("<i4").tobytes() for part in pieces]
             yield {
                 **columns,
-                "ids_sha256": [
-                    hashlib.sha256(part.astype("<i4").tobytes()).hexdigest() for part in pieces
-                ],
+                "ids": ids,
+                "ids_sha256": [hashlib.sha256(part).hexdigest() for part in ids],
                 "round_trip": [
                     decoded(vocabulary, part) == text for part, text in zip(pieces, texts)
                 ],
             }
 
-    schema = f"{_SAMPLE}, ids_sha256 string, round_trip boolean"
+    schema = f"{_SAMPLE}, ids binary, ids_sha256 string, round_trip boolean"
     return map_batches(
         _seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness)
     ).drop("tag")

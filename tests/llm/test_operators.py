@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 import xxhash
@@ -410,6 +411,15 @@ def test_short_texts_get_their_language():
     assert all(found[3] for found in same.judge(["the word", "the word " * 100]))
 
 
+def test_segmentations_are_returned(spark, docs, rows, empty):
+    found = segmentation.digests(docs, MODEL)
+    assert all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 for r in found.collect())
+    assert all(len(r.ids) == 4 * r.n_pieces for r in found.collect())
+    texts = collections.Counter((r.doc_id, r.text) for r in segmentation.decode(found, MODEL).collect())
+    assert texts.keys() == {(i, t or "") for i, t in rows}
+    assert "ids" in corpus_pipeline.sentencepiece(spark, empty, "").columns
+
+
 def test_shards(docs, rows, empty):
     found = sharding.shard(docs, sharding.even_tree(8), sharding.even_tree(9)).collect()
     assert ordered((r.doc_id, r.size, r.text_crc32) for r in found) == ordered(
