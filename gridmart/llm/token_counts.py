@@ -24,6 +24,10 @@ COUNTED = 1 << 18
 CACHED = 1 << 20
 _CHUNK = 1 << 22
 
+# Units of more characters (4 bytes each at most) are neither offered nor cached, which
+# bounds the table and both of these in bytes: without blanks a unit is a whole text.
+LONGEST = 64
+
 # A run of white space that holds more than one blank before a word needs the whole
 # pattern's view, so such a text is cut at other places.
 _SPACES = re.compile(r"\s ")
@@ -57,7 +61,7 @@ def special_strings(path: str) -> list[str]:
 
 
 def frequent_units(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
-    """The most frequent units of all documents: at most ``size``, so they may be broadcast.
+    """The most frequent short units of all documents: at most ``size``, to be broadcast.
 
     Each task counts its own and offers its most frequent; only these are summed. The
     choice decides speed alone: a unit that is missed is encoded by the worker.
@@ -67,7 +71,7 @@ def frequent_units(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
         counts: Counter[str] = Counter()
         for rows in batches:
             for text in rows.column("text").to_pylist():
-                counts.update(units(text))
+                counts.update([unit for unit in units(text) if len(unit) <= LONGEST])
                 if len(counts) > COUNTED:
                     counts = Counter(dict(counts.most_common(COUNTED // 2)))
         best = heapq.nlargest(OFFERED, counts.items(), key=lambda pair: (pair[1], pair[0]))
@@ -95,8 +99,9 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
     an empty table gives an empty result.
 
     First tier: the lengths of the most frequent units, broadcast. Second tier: a cache
-    of the task, filled by encoding what it has not seen, in batches. A text that holds
-    one of the tokenizer's special strings is encoded whole.
+    of the task, filled by encoding what it has not seen, in batches. Long units are kept
+    for their batch only. A text that holds one of the tokenizer's special strings is
+    encoded whole.
     """
     special = special_strings(tokenizer)
     table = frequent_units(docs)
@@ -118,6 +123,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
                 second.clear()
             new = [unit for unit in missed if unit not in second]
             second.update(zip(new, _encode_lengths(encoder, new)))
+            long = [unit for unit in new if len(unit) > LONGEST]
             counts = []
             for text, skip, part in zip(texts, odd, parts):
                 if skip:
@@ -126,6 +132,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
                     counts.append(
                         sum([first[u] if u in first else second[u] for u in part])
                     )
+            for unit in long:
+                del second[unit]
             yield {
                 "doc_id": rows.column("doc_id")[start:end],
                 "n_bytes": rows.column("n_bytes")[start:end],

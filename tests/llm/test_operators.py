@@ -305,6 +305,21 @@ def test_token_counts(docs, rows, empty):
     assert collected(token_counts.token_counts(empty, path)) == []
 
 
+def test_long_units_are_not_kept(spark, monkeypatch):
+    texts = ["中" * 5000, "a" * 64 + " b", "x" * 65 + " b", "b " * 9 + "中" * 5000]
+    rows = [(i, text) for i, text in enumerate(texts * 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    table = token_counts.frequent_units(frame)
+    assert {" b", "a" * 64} <= set(table) and max(map(len, table)) <= token_counts.LONGEST
+    monkeypatch.setattr(token_counts, "_CHUNK", 6000)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = Tokenizer.from_file(tokenizer)
+    found = token_counts.token_counts(frame, tokenizer).collect()
+    assert ordered((r.doc_id, r.n_tokens) for r in found) == ordered(
+        (i, len(encoder.encode(t, add_special_tokens=False).ids)) for i, t in rows
+    )
+
+
 def test_contamination(spark, docs, empty):
     long_item = " ".join(f"q{i}" for i in range(20))
     items = spark.createDataFrame(
