@@ -117,10 +117,11 @@ def close_pairs(
     ``prints`` has one column ``fp`` of distinct longs. Two fingerprints that differ in
     at most ``bits`` bits agree on all but ``bits`` of the blocks (pigeonhole), so they
     meet under one of the block keys. Small buckets are joined in pairs and verified.
-    In a larger bucket each fingerprint visits all values within half the distance of
-    itself, and those that meet there hang on the smallest; every close pair meets at a
-    value between them. So no bucket yields all its pairs, and the links connect exactly
-    what the pairs would connect. Only ``bits`` of 0 to 2 are supported.
+    In a larger bucket each fingerprint visits all values one bit from itself. For two
+    bits those that meet there hang on the smallest; every close pair meets at a value
+    between them. For fewer it is linked to the fingerprints it visits. So no bucket
+    yields all its pairs, and the links connect exactly what the pairs would connect.
+    Only ``bits`` of 0 to 2 are supported.
     """
     if not 0 <= bits <= 2 or blocks <= bits:
         raise ValueError("0 to 2 bits, and more blocks than bits")
@@ -158,6 +159,10 @@ def close_pairs(
         .filter("a <> fp")
         .select("a", F.col("fp").alias("b"))
     )
+    if bits < 2:
+        there = large.select(F.col("fp").alias("a")).distinct()
+        stars = large.join(there, F.col("at") == F.col("a")).select("a", F.col("fp").alias("b"))
+        stars = stars.filter("a < b")
     return pairs.union(stars).filter(_distance("a", "b") <= bits).distinct()
 
 

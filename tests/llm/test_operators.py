@@ -172,6 +172,13 @@ def test_large_buckets_link_like_pairs(spark):
     assert roots[0] == {frozenset(n for n in signed if exact[n] == r) for r in exact.values()}
 
 
+def test_large_buckets_link_one_bit(spark):
+    prints = spark.createDataFrame([(13,), (12,), (5,), (8,)], "fp long")
+    links = lambda bits: sorted(collected(simhash.close_pairs(prints, bits, paired=1)))
+    assert links(1) == [(5, 13), (8, 12), (12, 13)]
+    assert links(0) == []
+
+
 def simple_repeats(rows, window):
     seen = collections.Counter()
     for _, text in rows:
