@@ -25,6 +25,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the folder all executors share, and read it from there.
 
