@@ -13,14 +13,13 @@ from gridmart.functions.calendar import utc_hour
 from gridmart.schemas import (
     FOSSIL_TYPES,
     GENERATION_COLUMNS,
+    GENERATION_HOUR_KEY,
+    HOUR_KEY,
     HYDRO_TYPES,
     PRICE_COLUMNS,
     RENEWABLE_TYPES,
 )
 
-HOUR_KEY = ["bidding_zone", "hour_start_utc"]
-GENERATION_HOUR_KEY = ["bidding_zone", "psr_type", "hour_start_utc"]
-
 
 def stg_generation(raw: DataFrame) -> DataFrame:
     return raw.select(*GENERATION_COLUMNS)

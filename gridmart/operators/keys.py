@@ -28,3 +28,8 @@ def latest_rows(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return rows.groupBy(*keys).agg(best).select(
         *[F.col(name) if name in keys else F.col(f"latest.{name}") for name in rows.columns]
     )
+
+
+def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``target`` whose key is not in the batch, and the whole batch."""
+    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)

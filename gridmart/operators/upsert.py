@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.sources.tables import DayTable, listed_days, remove_folder
+from gridmart.sources.tables import DayTable, remove_folder
 
 
 class BatchRefused(ValueError):
@@ -25,28 +25,20 @@ def refused_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
     return counted.filter((F.col("rows") > 1) | has_null)
 
 
-def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``target`` whose key is not in the batch, and the whole batch.
-
-    All columns outside the key are replaced on a match, so dropping the old row
-    and adding the new one is the same as updating it.
-    """
-    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-
-
 def upsert(table: DayTable, batch: DataFrame) -> None:
     """Update the rows whose key is in the batch, insert the others, delete nothing.
 
-    The day is a function of the key, so only the days of the batch are read and
-    written. The last batch wins, whatever its revision. Repeating it is harmless.
+    The day is a function of the key, so only files of the batch's days can hold its keys,
+    and of these only those whose key range meets it are written anew. All columns
+    outside the key are replaced on a match, so dropping the old row and adding the new
+    one is the same as updating it. The last batch wins, whatever its revision.
+    Repeating it is harmless; readers see all of it or nothing.
     """
     table.create_if_absent()
-    table.finish_swaps()
     folder, staged = table.stage(batch.select(*table.columns))
     try:
         if not refused_keys(staged, table.key).isEmpty():
             raise BatchRefused(f"repeated or null values of {', '.join(table.key)} in the batch")
-        target = table.read_days(listed_days(staged))
-        table.replace_days(merge_rows(target, staged, table.key))
+        table.merge(staged)
     finally:
         remove_folder(table.spark, folder)

@@ -17,7 +17,6 @@ from gridmart.sources.documents import FETCH_ORDER
 from gridmart.sources.tables import (
     DayTable,
     generation_table,
-    listed_days,
     price_table,
     remove_folder,
 )
@@ -80,10 +79,10 @@ def ingest(
     spark = docs.sparkSession
     table = feed.table(spark, path)
     table.create_if_absent()
-    table.finish_swaps()
 
     # Texts are parsed once; all that follows reads the stored points.
     points_path = f"{path}_points/{uuid.uuid4().hex}"
+    staged = [points_path]
     verdict_path = f"{path}_verdicts/run={run}"
     try:
         day_points(docs, feed, strict, zone).write.parquet(points_path)
@@ -96,11 +95,13 @@ def ingest(
             raise DocumentsRejected(f"see {verdict_path}")
 
         good = points.join(rejected, "path", "left_anti").select(*table.columns, *FETCH_ORDER)
-        days = listed_days(verdicts.filter("error IS NULL"), "delivery_date")
-        # A stored row is older than any document.
-        old = table.read_days(days).select("*", *[F.lit(None).alias(n) for n in FETCH_ORDER])
-        merged = latest_rows(good.unionByName(old), table.key, FETCH_ORDER)
-        table.replace_days(merged)
+        # A stored row is older than any document, so the newest of these replaces it.
+        staging, newest = table.stage(
+            latest_rows(good, table.key, FETCH_ORDER).select(*table.columns)
+        )
+        staged.append(staging)
+        table.merge(newest)
     finally:
-        remove_folder(spark, points_path)
+        for folder in staged:
+            remove_folder(spark, folder)
     return verdicts

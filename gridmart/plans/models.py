@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import fixed_hours, local_date
 from gridmart.operators import hourly
-from gridmart.schemas import DAY, DEFAULT_ZONE, HOURLY_GENERATION, HOURLY_PRICES
-from gridmart.sources.tables import calendar_days, read_days, write_days
+from gridmart.schemas import DAY, DEFAULT_ZONE
+from gridmart.sources.tables import (
+    DayTable,
+    calendar_days,
+    hourly_generation_table,
+    hourly_price_table,
+)
 
-# model -> schema and order of its stored rows
-_STORED = {
-    "int_hourly_generation": (HOURLY_GENERATION, hourly.GENERATION_HOUR_KEY),
-    "int_hourly_prices": (HOURLY_PRICES, hourly.HOUR_KEY),
-}
+
+def _hour_tables(spark: SparkSession, root: str) -> dict[str, DayTable]:
+    """The stored hourly models by name."""
+    return {
+        "int_hourly_generation": hourly_generation_table(spark, f"{root}/int_hourly_generation"),
+        "int_hourly_prices": hourly_price_table(spark, f"{root}/int_hourly_prices"),
+    }
 
 
 def build_models(raw_generation: DataFrame, raw_prices: DataFrame) -> dict[str, DataFrame]:
@@ -62,8 +69,9 @@ def store_hourly(
     if days is not None and not fixed_hours(days, zone):
         raise ValueError(f"hours cross local days in {zone}: refresh all days")
     day = local_date(F.col("hour_start_utc"), zone)
-    for name, (_, key) in _STORED.items():
-        write_days(models[name].withColumn(DAY, day), f"{root}/{name}", DAY, key)
+    spark = models["int_hourly_prices"].sparkSession
+    for name, table in _hour_tables(spark, root).items():
+        table.replace_days(models[name].withColumn(DAY, day))
 
 
 def stored_models(
@@ -78,10 +86,8 @@ def stored_models(
     ``first`` and ``last`` only those of some days.
     """
     tables = []
-    for name, (schema, _) in _STORED.items():
-        if first is not None and last is not None:
-            rows = read_days(spark, f"{root}/{name}", schema, calendar_days(first, last))
-        else:
-            rows = spark.read.schema(schema).parquet(f"{root}/{name}")
+    for table in _hour_tables(spark, root).values():
+        some = first is not None and last is not None
+        rows = table.read_days(calendar_days(first, last)) if some else table.read()
         tables.append(rows.drop(DAY))
     return analysis_models(*tables)

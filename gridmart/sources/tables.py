@@ -7,45 +7,76 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridmart.operators.keys import merge_rows
 from gridmart.schemas import (
     DAY,
+    GENERATION_HOUR_KEY,
     GENERATION_KEY,
+    HOUR_KEY,
+    HOURLY_GENERATION,
+    HOURLY_PRICES,
     PRICE_KEY,
     RAW_GENERATION,
     RAW_PRICES,
     column_names,
 )
 
-# Marks a folder of new days as whole.
-_WHOLE = "_WHOLE"
+# What the log holds of every file: its place, key range and the commit that listed it.
+_RANGE = "rows bigint, low struct<{key}>, high struct<{key}>, born int, commit bigint"
+
+# Every so many commits one lists all days, so that readers need no older ones.
+_WHOLE_EVERY = 10
+_WHOLE = "-whole"
+
+_ATTEMPTS = 5
+_VERSION = "version"
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed first."""
 
 
 @dataclass(frozen=True)
 class DayTable:
-    """A table at ``path`` with a declared schema and a business key."""
+    """A table at ``path`` with a declared schema and a business key that ends in an instant.
+
+    Files lie below ``<path>/version=<write>/delivery_date_local=<day>/`` and are never
+    changed. Which of them make up a day is said by the log at ``<path>_commits``: a commit
+    lists all files of the days it touches, with the least and greatest key of each. Its
+    folder gets its number by one rename that fails if the number is taken. So a reader
+    sees each write as a whole or not at all, keeps the files it began with until
+    ``vacuum``, and of two writers the later one starts over.
+    """
 
     spark: SparkSession
     path: str
     schema: str
     key: list[str]
+    rows_per_file: int = 1 << 22
 
     def create_if_absent(self) -> None:
         """An empty table of the declared shape, unless there already is a table."""
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("ignore").partitionBy(DAY).parquet(self.path)
+        if not self.commits():
+            try:
+                self._commit(None, self.spark.createDataFrame([], self._record))
+            except ConcurrentWrite:
+                pass
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.columns)
+        """The rows as of the last commit, whatever is written while they are read."""
+        return self._rows(self._places(self.files()))
 
     @property
     def columns(self) -> list[str]:
         return column_names(self.schema)
 
     def read_days(self, days: Iterable[dt.date]) -> DataFrame:
-        return read_days(self.spark, self.path, self.schema, days).select(*self.columns)
+        """The rows of some days, whose files alone are looked at."""
+        return self._rows(self._places(self.files(days)))
 
     def stage(self, batch: DataFrame) -> tuple[str, DataFrame]:
         """Write the batch to a folder of its own; the folder, and the rows read from there.
@@ -58,38 +89,203 @@ class DayTable:
         return folder, self.spark.read.schema(batch.schema).parquet(folder)
 
     def replace_days(self, rows: DataFrame) -> None:
-        """Replace exactly the days that occur in ``rows``, which may be read from the table.
-
-        Spark removes an old partition before it moves the new one in, so the new days are
-        first stored whole beside the table. If the run is cut short after that, the next
-        one places them (``finish_swaps``); before that, the table is untouched.
+        """Replace exactly the days that occur in ``rows``, which may be read from the table."""
+        written = self._write(rows)
+        for _ in range(_ATTEMPTS):
+            try:
+                return self._commit(self._last(), written)
+            except ConcurrentWrite:
+                continue
+        raise ConcurrentWrite(self.path)
+
+    def merge(self, batch: DataFrame) -> None:
+        """Put the rows of ``batch``, of unique keys without nulls, in place of those with their keys.
+
+        Only files whose key range may hold a key of the batch are read and written anew;
+        the others of its days stay as they are. ``batch`` should be stored: it is
+        read several times.
         """
-        folder = f"{self._pending}/{uuid.uuid4().hex}"
-        rows.select(*self.columns).write.partitionBy(DAY).parquet(folder)
-        files, mark = _files(self.spark, f"{folder}/{_WHOLE}")
-        files.create(mark).close()
-        self._place(folder)
-
-    def finish_swaps(self) -> None:
-        """Place the days that a run stored whole but did not live to place.
-
-        A table has one writer at a time. Folders without their mark are never read.
+        days = listed_days(batch)
+        if not days:
+            return
+        for _ in range(_ATTEMPTS):
+            base = self._last()
+            files = self.files(days, base)
+            met = self._met(files, batch).collect()
+            rows = merge_rows(self._rows(met), batch.select(*self.columns), self.key)
+            written = self._write(rows if met else batch)
+            known = self.spark.createDataFrame(met, files.select(*self._place, "born").schema)
+            kept = files.join(known, self._place, "left_anti")
+            try:
+                return self._commit(base, kept.unionByName(written))
+            except ConcurrentWrite:
+                continue
+        raise ConcurrentWrite(self.path)
+
+    def _met(self, files: DataFrame, batch: DataFrame) -> DataFrame:
+        """The files whose key range meets the batch.
+
+        The batch is first reduced to the span of its instants in each hour of a series, a
+        partial aggregate, and the files are those of its days: the join is on the day.
         """
-        if _exists(self.spark, self._pending):
-            files, pending = _files(self.spark, self._pending)
-            for status in files.listStatus(pending):
-                folder = status.getPath().toString()
-                if _exists(self.spark, f"{folder}/{_WHOLE}"):
-                    self._place(folder)
+        *series, instant = self.key
+        spans = batch.groupBy(DAY, *series, F.date_trunc("hour", instant).alias("_hour")).agg(
+            F.min(instant).alias("_first"), F.max(instant).alias("_last")
+        )
+        first = F.struct(*series, F.col("_first").alias(instant))
+        last = F.struct(*series, F.col("_last").alias(instant))
+        spans = spans.select(DAY, first.alias("_from"), last.alias("_to"))
+        met = files.join(spans, DAY).filter("low <= _to AND high >= _from")
+        return met.select(*self._place, "born").distinct()
 
     @property
-    def _pending(self) -> str:
-        return f"{self.path}_pending"
+    def _place(self) -> list[str]:
+        return [DAY, _VERSION, "file"]
 
-    def _place(self, folder: str) -> None:
-        rows = self.spark.read.schema(self.schema).parquet(folder)
-        write_days(rows.select(*self.columns), self.path, DAY, self.key)
-        remove_folder(self.spark, folder)
+    @property
+    def _record(self) -> str:
+        types = dict(field.split(maxsplit=1) for field in self.schema.split(","))
+        key = ", ".join(f"{name}: {types[name].strip()}" for name in self.key)
+        return f"{DAY} date, {_VERSION} string, file string, {_RANGE.format(key=key)}"
+
+    @property
+    def _log(self) -> str:
+        return f"{self.path}_commits"
+
+    def commits(self) -> dict[int, str]:
+        """The folders of the log by number."""
+        found = {}
+        if _exists(self.spark, self._log):
+            files, log = _files(self.spark, self._log)
+            for status in files.listStatus(log):
+                name = status.getPath().getName()
+                if name.removesuffix(_WHOLE).isdigit():
+                    found[int(name.removesuffix(_WHOLE))] = f"{self._log}/{name}"
+        return found
+
+    def _last(self) -> int | None:
+        return max(self.commits(), default=None)
+
+    def files(self, days: Iterable[dt.date] | None = None, at: int | None = None) -> DataFrame:
+        """The files of the table, or of some days, as of a commit or the last one."""
+        commits = self.commits()
+        numbers = sorted(n for n in commits if at is None or n <= at)
+        whole = [n for n in numbers if commits[n].endswith(_WHOLE)]
+        folders = [commits[n] for n in numbers if not whole or n >= whole[-1]]
+        if not folders:
+            return self.spark.createDataFrame([], self._record)
+        listed = self.spark.read.schema(self._record).parquet(*folders)
+        if days is not None:
+            listed = listed.filter(F.col(DAY).isin(list(days)))
+        newest = F.max("commit").over(Window.partitionBy(DAY))
+        listed = listed.withColumn("_newest", newest).filter("commit = _newest")
+        return listed.drop("_newest")
+
+    def _places(self, files: DataFrame) -> list[Row]:
+        return files.select(*self._place, "born").collect()
+
+    def _rows(self, files: list[Row]) -> DataFrame:
+        """The rows of some files; a folder all of whose files are wanted is named as one path."""
+        folders: dict[str, list] = {}
+        for row in files:
+            folder = f"{self.path}/{_VERSION}={row[_VERSION]}/{DAY}={row[DAY].isoformat()}"
+            folders.setdefault(folder, []).append(row)
+        paths = []
+        for folder, rows in sorted(folders.items()):
+            whole = len(rows) == rows[0]["born"]
+            paths += [folder] if whole else [f"{folder}/{row['file']}" for row in rows]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return reader.parquet(*paths).select(*self.columns)
+
+    def _write(self, rows: DataFrame) -> DataFrame:
+        """Store rows as files of a new version, and list these.
+
+        Rows are dealt by ranges of day and key, so a hot day is split over several tasks,
+        and each file holds a range of keys and is sorted: time filters skip row groups.
+        """
+        version = uuid.uuid4().hex
+        folder = f"{self.path}/{_VERSION}={version}"
+        (
+            rows.select(*self.columns)
+            .repartitionByRange(DAY, *self.key)
+            .sortWithinPartitions(DAY, *self.key)
+            .write.option("maxRecordsPerFile", self.rows_per_file)
+            .partitionBy(DAY)
+            .parquet(folder)
+        )
+        if not _exists(self.spark, folder):
+            return self.spark.createDataFrame([], self._record)
+        # Sorted files: their first and last rows hold the range, whatever lies between.
+        stored = self.spark.read.schema(self.schema).parquet(folder)
+        file, at = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        ends = stored.groupBy(file.alias("file")).agg(F.max(at).alias("end"))
+        edges = (
+            stored.select(DAY, file.alias("file"), at.alias("at"), F.struct(*self.key).alias("key"))
+            .join(ends, "file")
+            .filter("at = 0 OR at = end")
+        )
+        listed = edges.groupBy(DAY, "file").agg(
+            (F.max("end") + 1).alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")
+        )
+        born = F.count("*").over(Window.partitionBy(DAY)).cast("int")
+        return listed.select(
+            DAY,
+            F.lit(version).alias(_VERSION),
+            "file",
+            "rows",
+            "low",
+            "high",
+            born.alias("born"),
+            F.lit(None).cast("long").alias("commit"),
+        )
+
+    def _commit(self, base: int | None, files: DataFrame) -> None:
+        """List ``files`` as all that their days hold, as the commit after ``base``."""
+        number = 0 if base is None else base + 1
+        whole = number % _WHOLE_EVERY == 0
+        record = files
+        if whole and base is not None:
+            rest = self.files(at=base).join(files.select(DAY).distinct(), DAY, "left_anti")
+            record = record.unionByName(rest)
+        folder = f"{self._log}/writing-{uuid.uuid4().hex}"
+        record.withColumn("commit", F.lit(number).cast("long")).coalesce(1).write.parquet(folder)
+        taken = number in self.commits()
+        if taken or not _rename(self.spark, folder, f"{self._log}/{number:012d}{_WHOLE * whole}"):
+            remove_folder(self.spark, folder)
+            raise ConcurrentWrite(f"commit {number} of {self.path}")
+
+    def vacuum(self, keep: int = 1, age: dt.timedelta = dt.timedelta(days=1)) -> int:
+        """Delete files that none of the last ``keep`` commits lists; how many there were.
+
+        Files younger than ``age`` stay: they may be those of a write that is still to be
+        committed, or be read by a query that began before the last commits.
+        """
+        commits = self.commits()
+        kept = sorted(commits)[-keep:]
+        live = {
+            (row[_VERSION], row[DAY].isoformat(), row["file"])
+            for number in kept
+            for row in self.files(at=number).select(*self._place).collect()
+        }
+        before = (dt.datetime.now() - age).timestamp() * 1000
+        gone = 0
+        files, root = _files(self.spark, self.path)
+        found = files.listFiles(root, True) if files.exists(root) else None
+        while found is not None and found.hasNext():
+            status = found.next()
+            path = status.getPath()
+            day, version = path.getParent().getName(), path.getParent().getParent().getName()
+            place = version.partition("=")[2], day.partition("=")[2], path.getName()
+            if place[2].endswith(".parquet") and place not in live:
+                if status.getModificationTime() <= before:
+                    gone += bool(files.delete(path, False))
+        whole = [n for n in commits if commits[n].endswith(_WHOLE) and n <= kept[0]] if kept else []
+        for number in commits:
+            if whole and number < max(whole):
+                remove_folder(self.spark, commits[number])
+        return gone
 
 
 def generation_table(spark: SparkSession, path: str) -> DayTable:
@@ -100,20 +296,12 @@ def price_table(spark: SparkSession, path: str) -> DayTable:
     return DayTable(spark, path, RAW_PRICES, PRICE_KEY)
 
 
-def write_days(rows: DataFrame, path: str, day: str, order: list[str]) -> None:
-    """Overwrite the day partitions that occur in ``rows``, and no other.
+def hourly_generation_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, HOURLY_GENERATION, GENERATION_HOUR_KEY)
 
-    Rebalancing gives a small day one file and splits a hot day over several
-    tasks. Rows are sorted inside each file, so time filters can skip row groups.
-    """
-    (
-        rows.hint("rebalance", day)
-        .sortWithinPartitions(day, *order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(path)
-    )
+
+def hourly_price_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, HOURLY_PRICES, HOUR_KEY)
 
 
 def listed_days(rows: DataFrame, day: str = DAY) -> list[dt.date]:
@@ -127,16 +315,6 @@ def day_folders(spark: SparkSession, path: str, day: str, days: Iterable[dt.date
     return [folder for folder in folders if _exists(spark, folder)]
 
 
-def read_days(
-    spark: SparkSession, path: str, schema: str, days: Iterable[dt.date], day: str = DAY
-) -> DataFrame:
-    """The rows of some days, whose folders alone are listed and read."""
-    folders = day_folders(spark, path, day, days)
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
-
-
 def calendar_days(first: dt.date, last: dt.date) -> list[dt.date]:
     return [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
 
@@ -151,6 +329,24 @@ def _files(spark: SparkSession, path: str) -> tuple:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a path that nothing has, in one step; whether it was free."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    files, start = _files(spark, source)
+    start, end = files.makeQualified(start), files.makeQualified(fs.Path(target))
+    kind = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    context = fs.FileContext.getFileContext(start.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(start, end, options)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     files, folder = _files(spark, path)
     return files.exists(folder)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.calendar import add_local_columns
 from gridmart.operators import checks, hourly, keys, slots
-from gridmart.operators.upsert import merge_rows
+from gridmart.operators.keys import merge_rows
 from gridmart.schemas import GENERATION_KEY
 
 ROME = ZoneInfo("Europe/Rome")

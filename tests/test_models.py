@@ -158,11 +158,11 @@ def test_stored_hours_are_refreshed_by_day(spark, models, folder):
         store_hourly(fresh, folder, days=[day], zone="Asia/Kolkata")
 
 
-def test_stored_schemas_match_the_models(models):
-    from gridmart.plans.models import _STORED
+def test_stored_schemas_match_the_models(spark, models):
+    from gridmart.plans.models import _hour_tables
 
-    for name, (schema, _) in _STORED.items():
-        declared = [tuple(field.split()) for field in schema.split(",")]
+    for name, table in _hour_tables(spark, "/nowhere").items():
+        declared = [tuple(field.split()) for field in table.schema.split(",")]
         assert models[name].dtypes == declared[:-1]
 
 

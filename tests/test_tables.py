@@ -56,7 +56,7 @@ def test_last_batch_wins_whatever_its_revision(spark, folder):
 
 def test_other_days_are_not_rewritten(spark, table):
     upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16"), ("2026-01-06T10:00", 2.0, "A", "B16")))
-    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{table.path}/*=2026-01-06/*.parquet")}
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{table.path}/*/*=2026-01-06/*.parquet")}
     before = files()
     upsert(table, generation(spark, ("2026-01-05T10:00", 5.0, "A", "B16")))
     assert before and files() == before
@@ -81,23 +81,113 @@ def test_only_wanted_days_are_listed(spark, table):
     assert table.read_days([dt.date(2030, 1, 1)]).count() == 0
 
 
-def test_swap_cut_short_is_finished_by_the_next_run(spark, table, monkeypatch):
-    upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16"), ("2026-01-05T11:00", 2.0, "A", "B16")))
+def live(table):
+    """Live files by day, and the least and greatest instant of each."""
+    return {
+        (r.delivery_date_local.day, r.file): (r.low.delivery_start_utc, r.high.delivery_start_utc)
+        for r in table.files().collect()
+    }
+
+
+def quarters(spark, day, first, last, value):
+    return generation(spark, *[
+        (f"2026-01-{day:02d}T{q // 4:02d}:{q % 4 * 15:02d}", value, "A", "B16") for q in range(first, last)
+    ])
 
-    def cut(rows, path, day, order):
-        for folder in glob.glob(f"{path}/{day}=2026-01-05"):
-            for name in os.listdir(folder):
-                os.remove(f"{folder}/{name}")
+
+@pytest.mark.parametrize("step", ["_write", "_rename"])
+def test_readers_never_see_half_a_write(spark, table, monkeypatch, step):
+    """A run that dies before its commit leaves the old days; the next one is not disturbed."""
+    upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16"), ("2026-01-06T11:00", 2.0, "A", "B16")))
+    before = values(table)
+    batch = generation(spark, ("2026-01-05T10:00", 9.0, "A", "B16"), ("2026-01-06T11:00", 8.0, "A", "B16"))
+
+    def cut(*args):
+        if step == "_write":
+            original(*args)
+        assert values(table) == before
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "write_days", cut)
+        owner = tables.DayTable if step == "_write" else tables
+        original = getattr(owner, step)
+        patch.setattr(owner, step, cut)
         with pytest.raises(KeyboardInterrupt):
-            upsert(table, generation(spark, ("2026-01-05T10:00", 9.0, "A", "B16")))
-    assert values(table) == {}
-    upsert(table, generation(spark, ("2026-01-06T10:00", 3.0, "A", "B16")))
-    assert values(table) == {("B16", 5, 10): 9.0, ("B16", 5, 11): 2.0, ("B16", 6, 10): 3.0}
-    assert os.listdir(f"{table.path}_pending") == [] == os.listdir(f"{table.path}_staging")
+            upsert(table, batch)
+    assert values(table) == before
+    upsert(table, batch)
+    assert values(table) == {("B16", 5, 10): 9.0, ("B16", 6, 11): 8.0}
+    assert os.listdir(f"{table.path}_staging") == []
+
+
+def test_a_reader_keeps_the_rows_it_began_with(spark, table):
+    upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16")))
+    began = table.read()
+    upsert(table, generation(spark, ("2026-01-05T10:00", 2.0, "A", "B16")))
+    assert [r.generation_mw for r in began.collect()] == [1.0]
+    assert [r.generation_mw for r in table.read().collect()] == [2.0]
+
+
+def test_the_later_of_two_writers_starts_over(spark, table, monkeypatch):
+    upsert(table, generation(spark, ("2026-01-05T10:00", 1.0, "A", "B16")))
+    original, other = tables.DayTable._write, []
+
+    def overtaken(self, rows):
+        if not other:
+            other.append(1)
+            upsert(table, generation(spark, ("2026-01-05T11:00", 2.0, "A", "B16")))
+        return original(self, rows)
+
+    monkeypatch.setattr(tables.DayTable, "_write", overtaken)
+    upsert(table, generation(spark, ("2026-01-05T10:00", 9.0, "A", "B16"), ("2026-01-05T12:00", 3.0, "A", "B16")))
+    assert values(table) == {("B16", 5, 10): 9.0, ("B16", 5, 11): 2.0, ("B16", 5, 12): 3.0}
+    assert not [name for name in os.listdir(f"{table.path}_commits") if name.startswith("writing")]
+
+
+def test_a_commit_number_is_taken_once(spark, folder):
+    for name in ("a", "b", "log/7"):
+        os.makedirs(f"{folder}/{name}")
+    assert not tables._rename(spark, f"{folder}/a", f"{folder}/log/7") or os.listdir(f"{folder}/log") == ["7"]
+    open(f"{folder}/log/7/x", "w").close()
+    assert not tables._rename(spark, f"{folder}/b", f"{folder}/log/7")
+    assert tables._rename(spark, f"{folder}/b", f"{folder}/log/8")
+
+
+def test_only_files_with_the_keys_of_a_batch_are_rewritten(spark, folder):
+    table = tables.DayTable(spark, f"{folder}/t", tables.RAW_GENERATION, tables.GENERATION_KEY, rows_per_file=16)
+    for day in (5, 6):
+        upsert(table, quarters(spark, day, 0, 88, 1.0))
+    before = live(table)
+    upsert(table, generation(spark, ("2026-01-05T10:00", 9.0, "A", "B16"), ("2026-01-05T10:07", 8.0, "A", "B16")))
+    after = live(table)
+    gone = set(before) - set(after)
+    (lost,) = gone
+    assert lost[0] == 5 and before[lost][0] <= dt.datetime(2026, 1, 5, 10) <= before[lost][1]
+    assert all(after[name] == before[name] for name in before if name not in gone)
+    assert len([name for name in before if name[0] == 5]) >= 5
+    rows = values(table)
+    assert rows["B16", 5, 10] in (1.0, 8.0, 9.0) and table.read().count() == 2 * 88 + 1
+    changed = table.read().filter("generation_mw > 1").collect()
+    assert sorted(r.generation_mw for r in changed) == [8.0, 9.0]
+
+    # Rows beyond all ranges need no old file.
+    kept = set(after)
+    upsert(table, quarters(spark, 5, 88, 92, 2.0))
+    assert kept < set(live(table)) and table.read().count() == 2 * 88 + 5
+
+
+def test_many_commits_and_vacuum(spark, table):
+    for n in range(24):
+        upsert(table, generation(spark, (f"2026-01-{5 + n % 3:02d}T10:00", float(n), "A", "B16")))
+    want = {("B16", 5, 10): 21.0, ("B16", 6, 10): 22.0, ("B16", 7, 10): 23.0}
+    assert values(table) == want
+    assert [n for n, path in sorted(table.commits().items()) if path.endswith("whole")] == [0, 10, 20]
+    assert table.vacuum() == 0
+    assert table.vacuum(age=dt.timedelta(0)) == 24 - 3
+    assert values(table) == want and min(table.commits()) == 20
+    assert len(glob.glob(f"{table.path}/**/*.parquet", recursive=True)) == 3
+    upsert(table, generation(spark, ("2026-01-05T10:00", 0.0, "A", "B16")))
+    assert values(table) == {**want, ("B16", 5, 10): 0.0}
 
 
 def test_latest_rows(spark):
