@@ -1,8 +1,7 @@
 """The document archive: ``<root>/delivery_date=<day>/<any name>``, one document a file.
 
-A later fetch of the same day must land under a new name. The file stream never
-looks at a rewritten file again, and with distinct names the landing order tells
-which fetch is the newest.
+A later fetch of the same day must land under a new name, moved into its folder whole:
+with distinct names the landing order tells which fetch is the newest.
 """
 
 from __future__ import annotations
@@ -12,14 +11,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.sources.landed import LandedDocuments
 from gridmart.sources.tables import calendar_days, day_folders
 
 _FILE = "value string, delivery_date date"
 _DOCUMENT = "document string, delivery_date date, landed_at timestamp, path string"
 
-# A hundred years.
-_ANY_AGE = "36500d"
-
 # What identifies a fetch, oldest first when sorted.
 FETCH_ORDER = ["landed_at", "path"]
 
@@ -55,21 +52,13 @@ def read_documents(
     return _documents(files)
 
 
-def stream_documents(spark: SparkSession, root: str, files_per_batch: int = 1000) -> DataFrame:
-    """The documents that land under ``root``, as a stream.
+def stream_documents(spark: SparkSession, root: str) -> DataFrame:
+    """The documents of each day under ``root`` to which something was added, as a stream.
 
-    A file of any age is read, so an archive copied with its times, or an old day sent
-    again, is not lost: the file source would else pass over files a week older than the
-    newest it has seen.
+    What is remembered is one number a day; see ``landed.py``. A file of any age is read.
     """
-    return _documents(
-        spark.readStream.format("text")
-        .schema(_FILE)
-        .option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", _ANY_AGE)
-        .load(root)
-    )
+    spark.dataSource.register(LandedDocuments)
+    return spark.readStream.format(LandedDocuments.name()).option("root", root).load()
 
 
 def land_documents(docs: DataFrame, root: str) -> None:

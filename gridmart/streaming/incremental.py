@@ -18,15 +18,15 @@ def ingest_stream(
     feed: Feed,
     zone: str = DEFAULT_ZONE,
     checkpoint: str | None = None,
-    files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Load what has landed since the last call, then stop.
-
-    Each micro-batch is an ingest of its own. A batch that is repeated after a
-    failure overwrites its own staging folders and upserts the same rows again,
-    so the table ends the same. Failing documents stay out, with their verdicts
-    under the batch number. Progress is kept beside the table unless ``checkpoint``
-    names another place that all executors share.
+    """Load the days to which something was added since the last call, then stop.
+
+    What has landed is one batch, an ingest of its own, of all documents of these days: of
+    late, replayed or reordered fetches the newest wins, as in a run over the whole
+    archive. A batch that is repeated after a failure upserts the same rows again, so the
+    table ends the same. Failing documents stay out, with their verdicts under the batch
+    number. Progress, one number for each day of the archive, is kept beside the table
+    unless ``checkpoint`` names another place that all executors share.
     """
     prepare(spark)
 
@@ -34,7 +34,7 @@ def ingest_stream(
         ingest(docs, path, feed, zone, strict=False, run=str(batch))
 
     return (
-        stream_documents(spark, archive, files_per_batch)
+        stream_documents(spark, archive)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint or f"{path}_checkpoint")
         .trigger(availableNow=True)

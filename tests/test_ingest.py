@@ -1,6 +1,8 @@
 import datetime as dt
 import os
+import random
 
+import pyarrow as pa
 import pytest
 
 from gridmart.plans import ingest
@@ -231,3 +233,70 @@ def test_stream_loads_files_of_any_age(spark, places):
     land(root, DAY, "old", day_document([(2, 2)]), at=now - 30 * 86400)
     ingest_stream(spark, root, path, GENERATION).awaitTermination()
     assert stored(spark, path) == [1.0, 2.0]
+
+
+def offsets(checkpoint):
+    """The sources' offsets of the last batch, as text."""
+    last = max(os.listdir(f"{checkpoint}/offsets"), key=lambda name: int(name) if name.isdigit() else -1)
+    with open(f"{checkpoint}/offsets/{last}") as file:
+        return file.read().splitlines()[-1]
+
+
+def test_stream_state_does_not_grow_with_files(spark, places, folder):
+    root, path = places
+    sizes = []
+    for start in (0, 40):
+        for n in range(start, start + 40):
+            land(root, DAY, f"f{n}", day_document([(n % 4 + 1, n)]), at=1_700_000_000 + n)
+        ingest_stream(spark, root, path, GENERATION, checkpoint=f"{folder}/check").awaitTermination()
+        sizes.append(len(offsets(f"{folder}/check")))
+    assert sizes[0] == sizes[1] and stored(spark, path) == [76.0, 77.0, 78.0, 79.0]
+
+
+def test_stream_lists_changed_days_only(spark, places):
+    from gridmart.sources.landed import LandedReader
+
+    root, _ = places
+    for day in ("2026-09-20", "2026-09-21", "2026-09-22"):
+        land(root, day, "a", "<a/>")
+    reader = LandedReader(root)
+    start = reader.latestOffset()
+    assert sorted(start) == ["2026-09-20", "2026-09-21", "2026-09-22"]
+    land(root, "2026-09-21", "b", "<b/>", at=1_000_000_000)
+    land(root, "2026-09-23", "c", "<c/>")
+    (task,) = reader.partitions(start, reader.latestOffset())
+    assert [(day, path.rsplit("/", 1)[1]) for day, path, _ in task.value] == [
+        ("2026-09-21", "a.xml"), ("2026-09-21", "b.xml"), ("2026-09-23", "c.xml")]
+    assert reader.partitions(start, start) == []
+    (batch,) = reader.read(task)
+    assert batch.column("document").to_pylist() == ["<a/>", "<b/>", "<c/>"]
+    read = documents.read_documents(spark, root).select("path", "landed_at")
+    seen = spark.createDataFrame(pa.Table.from_batches([batch])).select("path", "landed_at")
+    assert set(map(tuple, seen.collect())) <= set(map(tuple, read.collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reordered_and_replayed_fetches_end_as_one_run(spark, places, folder, seed):
+    """Fetches with given landing times that come in any order, some of them twice."""
+    root, path = places
+    rng = random.Random(seed)
+    days = [DAY, "2026-09-21"]
+    starts = {DAY: "2026-09-19T22:00Z", "2026-09-21": "2026-09-20T22:00Z"}
+    fetches = [(rng.choice(days), n, rng.sample(range(1, 9), 4)) for n in range(12)]
+    rng.shuffle(fetches)
+    for start in range(0, 12, 4):
+        for day, n, positions in fetches[start : start + 4] + fetches[:1]:
+            text = day_document([(p, 100 * n + p) for p in positions], start=starts[day])
+            land(root, day, f"f{n}", text, at=1_700_000_000 + n)
+        ingest_stream(spark, root, path, GENERATION).awaitTermination()
+    run(spark, root, f"{folder}/once")
+    assert stored(spark, path) == stored(spark, f"{folder}/once")
+
+
+def test_stream_of_an_empty_archive(spark, places):
+    root, path = places
+    os.makedirs(root)
+    ingest_stream(spark, root, path, GENERATION).awaitTermination()
+    land(root, DAY, "a", day_document([(1, 1)]))
+    ingest_stream(spark, root, path, GENERATION).awaitTermination()
+    assert stored(spark, path) == [1.0]
