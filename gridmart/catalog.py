@@ -545,6 +545,30 @@ def ingest_prices(m: Market) -> DataFrame:
     return tables.price_table(m.spark, path).read()
 
 
+@query
+def document_status(m: Market) -> DataFrame:
+    """Documents by delivery day and error: of each four days one day's are cut in half, one
+    day's hold no period, one day's lie in another day."""
+    day = F.dayofmonth("delivery_date") % 4
+    whole = F.col("document")
+    text = (
+        F.when(day == 1, F.substring(whole, F.lit(1), (F.length(whole) / 2).cast("int")))
+        .when(day == 2, F.regexp_replace(whole, "(?s)<Period>.*?</Period>", ""))
+        .otherwise(whole)
+    )
+    docs = m.generation_documents().select(
+        F.sha2("document", 256).alias("path"),
+        F.when(day == 3, F.date_add("delivery_date", 40))
+        .otherwise(F.col("delivery_date"))
+        .alias("delivery_date"),
+        F.lit(None).cast("timestamp").alias("landed_at"),
+        text.alias("document"),
+    )
+    points = ingest.day_points(docs, ingest.GENERATION, strict=False)
+    verdicts = ingest.document_verdicts(docs, points, ingest.GENERATION)
+    return verdicts.groupBy("delivery_date", "error").agg(F.count("*").alias("documents"))
+
+
 @query
 def stream_ingest_generation(m: Market) -> DataFrame:
     """The documents as a stream of landed files, into the same table."""

@@ -618,6 +618,14 @@ ORACLE: dict[str, str] = {
         f"""SELECT {_PRICE_COLUMNS} FROM price
             WHERE delivery_date_local = CAST(delivery_start_utc AS DATE)""",
     ),
+    "document_status": _with(
+        "gen",
+        """SELECT CAST(day + CASE WHEN day(day) % 4 = 3 THEN 40 ELSE 0 END AS DATE) AS delivery_date,
+            CASE day(day) % 4 WHEN 1 THEN 'malformed' WHEN 2 THEN 'no points'
+                 WHEN 3 THEN 'no points in the day' END AS error,
+            COUNT(*) AS documents
+        FROM (SELECT DISTINCT bidding_zone, delivery_date_local AS day FROM gen) GROUP BY ALL""",
+    ),
     "stream_ingest_generation": _ALL_GEN,
     "run_all_days": _with(
         "gen price",

@@ -20,6 +20,9 @@ _PARSER = {
     "ignoreSurroundingSpaces": "false",
 }
 
+MALFORMED = "malformed"
+_BROKEN = "_broken"
+
 # column name -> path inside a series
 GENERATION_SERIES = {
     "bidding_zone": "`inBiddingZone_Domain.mRID`",
@@ -36,11 +39,31 @@ PRICE_SERIES = {
 def parse(docs: DataFrame, schema: str, strict: bool = True) -> DataFrame:
     """Replace ``document`` by the parsed struct ``doc``.
 
-    Malformed text raises; if not ``strict`` it gives a document without series.
+    Malformed text raises. If not ``strict`` it sets ``malformed`` instead, and such a document
+    goes on as one row of nulls, so that whoever reads its points still knows of it.
     """
-    carried = [F.col(name) for name in docs.columns if name != "document"]
-    options = _PARSER if strict else {**_PARSER, "mode": "PERMISSIVE"}
-    return docs.select(*carried, F.from_xml("document", schema, options).alias("doc"))
+    carried = [name for name in docs.columns if name != "document"]
+    if strict:
+        return docs.select(*carried, F.from_xml("document", schema, _PARSER).alias("doc"))
+    options = {**_PARSER, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = F.from_xml("document", f"{schema}, {_BROKEN} string", options)
+    malformed = F.col("document").isNull() | F.col(f"doc.{_BROKEN}").isNotNull()
+    return (
+        docs.select(*carried, "document", parsed.alias("doc"))
+        .select(*carried, malformed.alias(MALFORMED), "doc")
+        .withColumn("doc", F.when(~F.col(MALFORMED), F.col("doc")))
+    )
+
+
+def _each(rows: DataFrame, array: str) -> Column:
+    """The elements of an array; of a malformed document, one null."""
+    return (F.explode_outer if MALFORMED in rows.columns else F.explode)(array)
+
+
+def _complete(rows: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet the condition, and those of malformed documents."""
+    kept = condition | F.col(MALFORMED) if MALFORMED in rows.columns else condition
+    return rows.filter(kept)
 
 
 def explode_series(parsed: DataFrame, fields: dict[str, str], **metadata: Column) -> DataFrame:
@@ -49,7 +72,7 @@ def explode_series(parsed: DataFrame, fields: dict[str, str], **metadata: Column
     rows = parsed.select(
         *carried,
         *[value.alias(name) for name, value in metadata.items()],
-        F.explode("doc.TimeSeries").alias("series"),
+        _each(parsed, "doc.TimeSeries").alias("series"),
     )
     return rows.select(
         *carried,
@@ -61,12 +84,12 @@ def explode_series(parsed: DataFrame, fields: dict[str, str], **metadata: Column
 
 def generation_series_only(series: DataFrame) -> DataFrame:
     """Drop the series without an in-zone id: those are consumption."""
-    return series.filter(present(F.col("bidding_zone")))
+    return _complete(series, present(F.col("bidding_zone")))
 
 
 def explode_periods(series: DataFrame) -> DataFrame:
     carried = [name for name in series.columns if name != "periods"]
-    return series.select(*carried, F.explode("periods").alias("period")).select(
+    return series.select(*carried, _each(series, "periods").alias("period")).select(
         *carried,
         F.col("period.timeInterval.start").alias("period_start"),
         F.col("period.resolution").alias("resolution"),
@@ -76,12 +99,12 @@ def explode_periods(series: DataFrame) -> DataFrame:
 
 def complete_periods(periods: DataFrame) -> DataFrame:
     """Drop the periods without a start or a resolution."""
-    return periods.filter(present(F.col("period_start")) & present(F.col("resolution")))
+    return _complete(periods, present(F.col("period_start")) & present(F.col("resolution")))
 
 
 def explode_points(periods: DataFrame, value: str) -> DataFrame:
     carried = [name for name in periods.columns if name != "points"]
-    return periods.select(*carried, F.explode("points").alias("point")).select(
+    return periods.select(*carried, _each(periods, "points").alias("point")).select(
         *carried,
         F.col("point.position").alias("position"),
         F.col(f"point.{value}").alias("value"),
@@ -90,7 +113,7 @@ def explode_points(periods: DataFrame, value: str) -> DataFrame:
 
 def complete_points(points: DataFrame) -> DataFrame:
     """Drop the points without a position or a value."""
-    return points.filter(present(F.col("position")) & present(F.col("value")))
+    return _complete(points, present(F.col("position")) & present(F.col("value")))
 
 
 def point_instant(start: Column, step: Column, position: Column, strict: bool = True) -> Column:
@@ -122,7 +145,8 @@ def _timed_points(periods: DataFrame, value: str, strict: bool) -> DataFrame:
     columns = {"delivery_start_utc": instant, "value": to_double(F.col("value"), strict)}
     if not strict:
         earlier = F.col("unreadable") if "unreadable" in points.columns else F.lit(False)
-        columns["unreadable"] = earlier | instant.isNull() | ~is_number(F.col("value"))
+        unreadable = earlier | instant.isNull() | ~is_number(F.col("value"))
+        columns["unreadable"] = ~F.col(MALFORMED) & F.coalesce(unreadable, F.lit(True))
     return points.withColumns(columns).drop("period_start", "step", "position")
 
 

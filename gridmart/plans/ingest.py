@@ -45,19 +45,37 @@ GENERATION = Feed(
 PRICES = Feed("prices", price_table, flatten.price_points, checks.price_verdicts)
 
 
+# Whether a point belongs to the delivery day of its document.
+IN_DAY = "in_day"
+
+
 def day_points(docs: DataFrame, feed: Feed, strict: bool, zone: str = DEFAULT_ZONE) -> DataFrame:
-    """The points of each document that belong to its own delivery day."""
+    """The points of each document, with ``in_day`` telling which lie in its delivery day.
+
+    Text that cannot be read has no place in time and counts to the day.
+    """
     points = feed.points(docs, strict)
-    kept = in_day(F.col(START), F.col("delivery_date"), zone)
+    inside = F.coalesce(in_day(F.col(START), F.col("delivery_date"), zone), F.lit(False))
     if not strict:
-        kept = F.col("unreadable") | kept
-    return add_local_columns(points.filter(kept), zone)
+        inside = F.col("unreadable") | (inside & ~F.col(flatten.MALFORMED))
+    return add_local_columns(points.withColumn(IN_DAY, inside), zone)
 
 
 def document_verdicts(docs: DataFrame, points: DataFrame, feed: Feed) -> DataFrame:
-    """One row per document, also for those without points, with its error if it has one."""
-    counts = feed.verdicts(points, ["path"])
-    joined = docs.select("path", "delivery_date", "landed_at").join(counts, "path", "left")
+    """One row per document, also for those without points, with its error if it has one.
+
+    ``parsed_rows`` counts the points before the day filter, ``rows`` those in the day.
+    """
+    malformed = F.col(flatten.MALFORMED) if flatten.MALFORMED in points.columns else F.lit(False)
+    parsed = points.groupBy("path").agg(
+        F.count_if(malformed).alias("malformed"), F.count_if(~malformed).alias("parsed_rows")
+    )
+    counts = feed.verdicts(points.filter(IN_DAY), ["path"])
+    joined = (
+        docs.select("path", "delivery_date", "landed_at")
+        .join(parsed, "path", "left")
+        .join(counts, "path", "left")
+    )
     return joined.fillna(0).withColumn("error", checks.verdict_error())
 
 
@@ -94,7 +112,8 @@ def ingest(
         if strict and not rejected.isEmpty():
             raise DocumentsRejected(f"see {verdict_path}")
 
-        good = points.join(rejected, "path", "left_anti").select(*table.columns, *FETCH_ORDER)
+        good = points.filter(IN_DAY).join(rejected, "path", "left_anti")
+        good = good.select(*table.columns, *FETCH_ORDER)
         # A stored row is older than any document, so the newest of these replaces it.
         staging, newest = table.stage(
             latest_rows(good, table.key, FETCH_ORDER).select(*table.columns)

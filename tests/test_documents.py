@@ -189,7 +189,8 @@ def test_unreadable_text_is_flagged_when_not_strict(spark):
         "<Doc>",
     ]
     frame = generation_points(docs_frame(spark, *texts), strict=False)
-    got = frame.select("generation_mw", "unreadable").collect()
+    assert [r.generation_mw for r in frame.filter("malformed").collect()] == [None]
+    got = frame.filter("NOT malformed").select("generation_mw", "unreadable").collect()
     assert {tuple(r) for r in got} == {(None, True), (5.0, False), (6.0, True), (7.0, True), (8.0, True)}
     priced = price_points(docs_frame(spark, price_document([(1, 1)], revision="x")), strict=False)
     assert [r.unreadable for r in priced.collect()] == [True]

@@ -74,7 +74,9 @@ def test_backfill_equals_runs_day_by_day(spark, places, folder):
 
 BAD = {
     "several resolutions": None,
-    "no points": day_document([(97, 1)]),
+    "no points": day_document([(1, "")]),
+    "no points in the day": day_document([(97, 1)]),
+    "malformed": day_document([(1, 1)])[:-5],
     "null values": day_document([(1, "nan")]),
     "duplicate keys": day_document([(1, 1), (1, 2)]),
     "unreadable text": day_document([(1, "x"), (2, 1)]),
@@ -117,7 +119,25 @@ def test_malformed_document(spark, places):
     land(root, DAY, "bad", "<Doc><TimeSeries>")
     with pytest.raises(Exception, match="(?i)malformed"):
         run(spark, root, path)
-    assert [r.error for r in run(spark, root, path, strict=False).collect()] == ["no points"]
+    assert [r.error for r in run(spark, root, path, strict=False).collect()] == ["malformed"]
+
+
+def test_counts_before_and_after_the_day_filter(spark, places):
+    root, path = places
+    land(root, DAY, "a", day_document([(0, 1), (1, 2), (96, 3), (97, 4)]))
+    land(root, DAY, "empty", " ")
+    land(root, "2026-09-21", "b", day_document([(1, 2)]))
+    verdicts = run(spark, root, path, strict=False).collect()
+    assert {
+        r.path.rsplit("/", 1)[1]: (r.malformed, r.parsed_rows, r.rows, r.error) for r in verdicts
+    } == {
+        "a.xml": (0, 4, 2, None),
+        "empty.xml": (1, 0, 0, "malformed"),
+        "b.xml": (0, 1, 0, "no points in the day"),
+    }
+    os.remove(f"{root}/delivery_date={DAY}/empty.xml")
+    with pytest.raises(DocumentsRejected):
+        run(spark, root, path)
 
 
 def test_strict_names_the_verdicts(spark, places):
