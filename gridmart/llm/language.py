@@ -22,16 +22,19 @@ DICTIONARY_BYTES = 512 * 1024
 # Greedy parsing with level 3 tables; finer levels pack no better for this purpose.
 LEVEL = 3
 
-# A text of SHORT bytes or more is rejected if the second best language needs less than
-# this share more bytes than the best. Texts without letters are always rejected.
-MIN_MARGIN = 0.0
+# Texts are packed in spans of about so many bytes, each on its own, and the sizes summed:
+# every span leans on the dictionary, and whole bytes of many spans tell finer margins.
+SPAN = 96
 
-# Frames of shorter texts often tie or mislead, being whole bytes of few matches: these are
-# judged by a code length in bits, and so are longer texts that tie. Of the latter those
-# within the share NARROW in bits too are as near to two languages.
+# A text of SHORT bytes or more is rejected if the second best language needs at most this
+# share more bytes than the best. Texts without letters are always rejected.
+MIN_MARGIN = 0.04
 SHORT = 512
-NARROW = 0.01
 
+# At most so many bytes of dictionaries in all, however many languages there are.
+ALL_BYTES = 64 << 20
+
+# Texts of a few words may tie: then a code length in bits decides between the languages that do.
 # Letters and their contexts in the code length, the weight of a shorter context, and the
 # share kept for letters that a language has not shown. Letters coded at once are bounded.
 ORDER = 4
@@ -65,16 +68,27 @@ def learn(
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     order = F.xxhash64("doc_id", "text")
+    near = F.pmod(order, F.lit(1 << 20))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.pmod(order, F.lit(1 << 20)) * F.col("n") < F.lit(2 * sample << 20)
-    some = labelled.select("lang", "text", "doc_id").join(F.broadcast(counts), "lang").filter(share)
-    best = Window.partitionBy("lang").orderBy(F.pmod(order, F.lit(1 << 20)), order)
+    share = near * F.col("n") < F.lit(2 * sample << 20)
+    some = labelled.select("lang", "text", "doc_id").join(counts, "lang").filter(share)
+    best = Window.partitionBy("lang").orderBy(near, order)
     some = some.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= sample)
+    # Only letters that a dictionary has room for leave Spark.
+    letters = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " "))
+    some = some.select("lang", "place", letters.alias("letters"))
+    before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    size = min(size, ALL_BYTES // max(1, counts.count()))
+    some = some.withColumn("start", F.coalesce(F.sum(F.length("letters")).over(before), F.lit(0)))
+    room = F.lit(size) - F.col("start")
+    some = some.filter(room > 0).select(
+        "lang", "place", F.substring("letters", F.lit(1), room.cast("int")).alias("letters")
+    )
     found: dict[str, bytes] = {}
-    for row in some.orderBy("lang", "place").select("lang", "text").toLocalIterator():
+    for row in some.orderBy("lang", "place").toLocalIterator():
         have = found.setdefault(row["lang"], b"")
         if len(have) < size:
-            found[row["lang"]] = have + _plain(row["text"])[: size - len(have)] + b" "
+            found[row["lang"]] = have + _plain(row["letters"])[: size - len(have)] + b" "
     return {lang: content for lang, content in found.items() if content.strip()}
 
 
@@ -93,15 +107,20 @@ def _grams(letters: np.ndarray) -> list[np.ndarray]:
     return names
 
 
+def _tables(content: bytes) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """The number of letters, and the names and counts of the 1 to ORDER letters in a row."""
+    letters = _letters(content.decode("utf-8", "ignore"))
+    return len(letters), [
+        np.unique(names[n:], return_counts=True) for n, names in enumerate(_grams(letters))
+    ]
+
+
 class Letters:
     """What a letter costs under a language's dictionary, after up to ORDER - 1 others."""
 
-    def __init__(self, content: bytes):
-        letters = _letters(content.decode("utf-8", "ignore"))
-        self.total = len(letters)
-        self.tables = [
-            np.unique(names[n:], return_counts=True) for n, names in enumerate(_grams(letters))
-        ]
+    def __init__(self, total: int, tables: list[tuple[np.ndarray, np.ndarray]]):
+        self.total = total
+        self.tables = tables
 
     def counts(self, n: int, names: np.ndarray) -> np.ndarray:
         known, count = self.tables[n]
@@ -128,11 +147,13 @@ class Coder:
     def __init__(
         self,
         contents: dict[str, bytes],
-        letters: list[Letters] | None = None,
+        tables: list[tuple] | None = None,
         level: int = LEVEL,
     ):
         self.languages = sorted(contents)
-        self.letters = letters or [Letters(contents[language]) for language in self.languages]
+        if tables is None:
+            tables = [_tables(contents[language]) for language in self.languages]
+        self.letters = [Letters(*table) for table in tables]
         self.coders = []
         for language in self.languages:
             dictionary = zstandard.ZstdCompressionDict(
@@ -151,7 +172,12 @@ class Coder:
             )
 
     def sizes(self, text: bytes) -> list[int]:
-        return [len(coder.compress(text)) for coder in self.coders]
+        """The packed bytes of all spans of a text, by language."""
+        sums = [0] * len(self.coders)
+        for span in _spans(text):
+            for i, coder in enumerate(self.coders):
+                sums[i] += len(coder.compress(span))
+        return sums
 
     def code_lengths(self, texts: list[bytes]) -> list[list[float]]:
         """Bytes, not whole, that each language needs for each text; none if it shows no
@@ -187,58 +213,81 @@ class Coder:
         """The language, a score from 0 to 1, the margin over the second best, and whether
         the text is rejected.
 
-        The score is the best language's share if a byte more halves a language's
-        chance. Texts below SHORT bytes are judged by their code lengths, and rejected only
-        if those tell nothing; longer ones by their packed sizes, or by code lengths if
-        these tie. A longer text within NARROW in code length too has margin 0.
+        The language with the smallest packed size wins, and the score is its share if a
+        byte more halves a language's chance. Of languages that tie the one with the
+        smallest code length wins, of equal ones the first by name; a text that ties and
+        shows no letter that was learned from is ``und``.
         """
         found = [(UNKNOWN, 0.0, 0.0, True)] * len(texts)
         if not self.coders:
             return found
         plain = [_plain(text) for text in texts]
-        fine = []
+        tied = []
         for i, text in enumerate(plain):
-            if len(text) >= SHORT:
+            if text:
                 sizes = self.sizes(text)
-                if len(sizes) > 1 and sizes.count(min(sizes)) > 1:
-                    fine.append(i)
+                best = min(sizes)
+                if sizes.count(best) > 1 or len(sizes) == 1:
+                    tied.append((i, sizes))
                 else:
-                    found[i] = self._verdict(sizes, margin)
-            elif text:
-                fine.append(i)
-        for i, sizes in zip(fine, self.code_lengths([plain[i] for i in fine])):
-            if sizes:
-                long = len(plain[i]) >= SHORT
-                found[i] = self._verdict(sizes, margin if long else 0.0, NARROW if long else 0.0)
+                    over = (sorted(sizes)[1] - best) / best
+                    found[i] = (
+                        self.languages[sizes.index(best)],
+                        _share(sizes),
+                        over,
+                        len(text) >= SHORT and over <= margin,
+                    )
+        for (i, sizes), bits in zip(tied, self.code_lengths([plain[i] for i, _ in tied])):
+            if bits:
+                best = min(sizes)
+                among = [(b, name) for size, b, name in zip(sizes, bits, self.languages) if size == best]
+                least, name = min(among)
+                alike = len(plain[i]) >= SHORT or sum(b == least for b, _ in among) > 1
+                alone = len(sizes) == 1
+                share = _share([b for b, _ in among])
+                found[i] = (name, share, float(alone), alike and not alone)
         return found
 
-    def _verdict(
-        self, sizes: list[float], margin: float, narrow: float = 0.0
-    ) -> tuple[str, float, float, bool]:
-        best = min(sizes)
-        score = 1.0 / sum(2.0 ** max(best - size, -60) for size in sizes)
-        second = sorted(sizes)[1] if len(sizes) > 1 else 2 * best
-        over = (second - best) / best
-        if over <= narrow:
-            over = 0.0
-        return self.languages[sizes.index(best)], score, over, over <= margin
+
+def _share(sizes: list[float]) -> float:
+    best = min(sizes)
+    return 1.0 / sum(2.0 ** max(best - size, -60) for size in sizes)
+
+
+def _spans(text: bytes) -> list[bytes]:
+    """A text cut at blanks, or inside a longer word, into spans of at most SPAN bytes."""
+    spans, start = [], 0
+    while start < len(text):
+        end = min(len(text), start + SPAN)
+        if end < len(text):
+            blank = text.rfind(b" ", start + 1, end)
+            end = blank if blank > start else end
+        spans.append(text[start:end])
+        start = end
+    return spans
 
 
 def _learned(spark: SparkSession, docs: DataFrame):
-    """Broadcast dictionaries and letter tables; both are bounded by the sample."""
+    """Broadcast dictionaries and letter tables; both are bounded by the sample.
+
+    Plain values only: a broadcast names classes by their module, which workers may lack.
+    """
     contents = learn(docs)
-    letters = [Letters(contents[language]) for language in sorted(contents)]
-    return spark.sparkContext.broadcast((contents, letters))
+    tables = [_tables(contents[language]) for language in sorted(contents)]
+    return spark.sparkContext.broadcast((contents, tables))
 
 
 def languages(docs: DataFrame, margin: float = MIN_MARGIN) -> DataFrame:
     """doc_id, held_out, lang_pred, score, margin and rejected of every whole text.
 
     lang_pred is a learned language, ``und`` if the text is null or has no letters or
-    nothing could be learned, or if it is judged by letters and none of them was learned
-    from. Rejected: ``und``, a margin of 0, or in texts of SHORT bytes or more one not above
-    ``margin``. Only text decides; null labels are not learned from. Repeated rows and
-    null ids are judged like any other; an empty table gives an empty result.
+    nothing could be learned, or if all sizes tie and none of its letters was learned from.
+    Rejected: ``und``, texts of SHORT bytes or more whose margin is not above ``margin`` (0
+    if languages tie), and shorter ones that tie in code length too. Ties go to the smaller
+    code length, then to the first name.
+    Only text decides; null labels are not learned from. Very long texts are packed
+    span by span, in time linear in their length. Repeated rows and null ids are judged like
+    any other; other columns are not read; an empty table gives an empty result.
     """
     learned = _learned(docs.sparkSession, docs)
 
