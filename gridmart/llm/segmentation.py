@@ -1,8 +1,8 @@
 """Sampled segmentations of texts into pieces of a vocabulary, without replacement.
 
-A text is cut into units, each a word with the blanks before it; pieces never cross
-units, so the lattice of a text is the lattices of its units one after the other, and
-equal units share one. Every path through the lattice is a segmentation, with a
+A text is cut into units, each a word with the blanks before it, or a part of LONGEST_UNIT
+characters of a longer one; pieces never cross units, so the lattice of a text is the
+lattices of its units one after the other, and equal units share one. Every path through the lattice is a segmentation, with a
 probability in proportion to the product of its pieces' weights.
 
 Top-k sampling without replacement is a search over the tree of decisions: a node stands
@@ -32,18 +32,77 @@ SAMPLES = 2
 
 # Characters of texts whose units share one table of lattices.
 _CHUNK = 1 << 19
+
+# Characters of a unit; what is summed character by character is so bounded.
+LONGEST_UNIT = 1024
+
+# A task keeps the lattices of so many units that came up in several chunks, none of them
+# longer than so many characters. They are chosen after these chunks.
+_KEPT_UNITS = 1 << 15
+_KEPT_LENGTH = 32
+_CHOSEN_AFTER = (4, 12)
 _SPACES = re.compile(r"\s ")
 _GOLDEN = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
 def units(text: str) -> list[str]:
-    """The text with a blank before it, cut before each blank after another character."""
+    """The text with a blank before it, cut before each blank after another character, and
+    every LONGEST_UNIT characters of what is longer then."""
     if not text:
         return []
     if text[0] != " " and not _SPACES.search(text):
-        return [" " + word for word in text.split(" ")]
-    return re.split(r"(?<=\S)(?= )", " " + text)
+        found = [" " + word for word in text.split(" ")]
+    else:
+        found = re.split(r"(?<=\S)(?= )", " " + text)
+    if max(map(len, found)) <= LONGEST_UNIT:
+        return found
+    return [
+        unit[at : at + LONGEST_UNIT]
+        for unit in found
+        for at in range(0, len(unit), LONGEST_UNIT)
+    ]
+
+
+class _Steps:
+    """A hash table from numbers to numbers, probed for many at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(len(keys) * 4).bit_length())
+        size = 1 << self.bits
+        self.keys = np.full(size, -1, np.int64)
+        self.values = np.zeros(size, np.int64)
+        at, left = self._slot(keys), np.arange(len(keys))
+        self.probes = 0
+        while len(left):
+            self.probes += 1
+            slot = at[left]
+            free = self.keys[slot] == -1
+            # Of several keys for one free slot the last one written gets it.
+            self.keys[slot[free]] = keys[left[free]]
+            self.values[slot[free]] = values[left[free]]
+            left = left[self.keys[slot] != keys[left]]
+            at[left] = (at[left] + 1) & (size - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(_GOLDEN)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are in the table, and the values of these."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        match = held == keys
+        open_ = np.flatnonzero(~match & (held != -1))
+        for _ in range(1, self.probes):
+            if not len(open_):
+                break
+            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            held = self.keys[slot[open_]]
+            here = held == keys[open_]
+            match[open_[here]] = True
+            open_ = open_[~here & (held != -1)]
+        return match, self.values[slot[match]]
 
 
 class Vocabulary:
@@ -83,9 +142,11 @@ class Vocabulary:
                 state = children.setdefault((state, ord(character)), len(children) + 1)
             ids[state] = i
             weights[state] = -sharpness * math.log(1 + rank) - math.log(total)
-        keys = sorted((state << 21 | code, to) for (state, code), to in children.items())
-        self.keys = np.array([key for key, _ in keys], np.int64)
-        self.to = np.array([to for _, to in keys], np.int64)
+        self.steps = _Steps(
+            np.array([state << 21 | code for state, code in children], np.int64),
+            np.array(list(children.values()), np.int64),
+        )
+        self.kept = Kept()
         self.first = np.zeros(1 << 21, np.int32)  # from the root, by code point
         for (state, code), to in children.items():
             if not state:
@@ -103,10 +164,8 @@ class Vocabulary:
             to = self.first[code]
             match = to > 0
             return live[match], to[match].astype(np.int64)
-        key = state << 21 | code
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        match = self.keys[at] == key
-        return live[match], self.to[at[match]]
+        match, to = self.steps.find(state << 21 | code)
+        return live[match], to
 
 
 class Lattices:
@@ -196,6 +255,18 @@ class Lattices:
         self.until = total - base[self.source]
         self.until[last] = 2.0  # every draw ends at the last edge at the latest
 
+    def followed_by(self, other: Lattices) -> Lattices:
+        """The lattices of this table, then those of another."""
+        both = object.__new__(Lattices)
+        nodes, edges = len(self.paths), len(self.target)
+        both.first = np.append(self.first, other.first + nodes)
+        both.last = np.append(self.last, other.last + nodes)
+        both.begin = np.append(self.begin[:-1], other.begin + edges)
+        both.target = np.append(self.target, other.target + nodes)
+        for name in ("piece", "log_p", "until", "paths"):
+            setattr(both, name, np.append(getattr(self, name), getattr(other, name)))
+        return both
+
     def walk(self, which: np.ndarray, seeds: np.ndarray) -> Walks:
         """A path through each of the units, drawn by the probabilities."""
         at, end = self.first[which].copy(), self.last[which]
@@ -257,6 +328,40 @@ class Lattices:
         return tuple(path), log_p
 
 
+class Kept:
+    """The lattices of units that come up again and again in a task, of bounded number."""
+
+    def __init__(self):
+        self.chunks = 0
+        self.seen: dict[str, int] = {}
+        self.numbers: dict[str, int] = {}
+        self.lattices: Lattices | None = None
+
+    def table(self, vocabulary: Vocabulary, numbers: dict[str, int]) -> Lattices:
+        """The lattices of ``numbers``, which begins with the kept ones."""
+        rare = list(numbers)[len(self.numbers) :]
+        found = Lattices(vocabulary, rare)
+        if self.lattices is not None:
+            found = self.lattices.followed_by(found)
+        self._choose(vocabulary, rare)
+        return found
+
+    def _choose(self, vocabulary: Vocabulary, rare: list[str]) -> None:
+        self.chunks += 1
+        if self.chunks > _CHOSEN_AFTER[-1]:
+            return
+        for unit in rare:
+            if len(unit) <= _KEPT_LENGTH:
+                self.seen[unit] = self.seen.get(unit, 0) + 1
+        if self.chunks in _CHOSEN_AFTER:
+            again = sorted((-count, unit) for unit, count in self.seen.items() if count > 1)
+            room = _KEPT_UNITS - len(self.numbers)
+            units_ = [*self.numbers, *[unit for _, unit in again[:room]]]
+            self.numbers = {unit: i for i, unit in enumerate(units_)}
+            self.lattices = Lattices(vocabulary, units_) if units_ else None
+            self.seen = {}
+
+
 @dataclass
 class Walks:
     """Paths end to end: the edges of row i are ``edges[begin[i]:end[i]]``."""
@@ -414,9 +519,9 @@ def sample_texts(
     vocabulary: Vocabulary, texts: list[str], seeds: list[int], samples: int
 ) -> Iterator[tuple[int, int, float, float, float, np.ndarray]]:
     """(text, rank, log probability, perturbed value, log inclusion, ids) of each sample."""
-    numbers: dict[str, int] = {}
+    numbers = dict(vocabulary.kept.numbers)
     parts = [[numbers.setdefault(u, len(numbers)) for u in units(text)] for text in texts]
-    lattices = Lattices(vocabulary, list(numbers))
+    lattices = vocabulary.kept.table(vocabulary, numbers)
     searches = [
         _Search(lattices, np.array(part, np.int64), seed & _MASK, samples)
         for part, seed in zip(parts, seeds)
