@@ -26,10 +26,13 @@ _SYMBOLS = b"#$%&*|"
 
 # Bytes of text in the trie of a task that collapses copies before any shuffle, and in a
 # partition of the shuffled texts; a row counts for so many bytes more.
-LOCAL_BYTES = 16 << 20
+LOCAL_BYTES = 8 << 20
 PART_BYTES = 64 << 20
 ROW_BYTES = 512
 
+# Rows of a batch that are Python values at a time.
+_ROWS = 256
+
 # Lengths of the prefixes that partitions may be cut by: this one times powers of four.
 SHORTEST = 16
 _STEP = 4
@@ -108,6 +111,14 @@ class Trie:
             waiting.extend(node[1].values())
 
 
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of Arrow batches, some at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            part = batch.slice(start, _ROWS)
+            yield list(zip(*[column.to_pylist() for column in part.columns]))
+
+
 def marks(text: bytes) -> list[int]:
     """Hashes of the proper prefixes that a partition may be cut by, shortest first."""
     found, size, level = [], SHORTEST, 0
@@ -132,8 +143,8 @@ def judged(docs: DataFrame) -> DataFrame:
 
     def emit(held: list[tuple], trie: Trie) -> Iterator[pa.RecordBatch]:
         first = {entry[1] for entry in trie.entries()}
-        for start in range(0, len(held), 1000):
-            rows = held[start : start + 1000]
+        for start in range(0, len(held), _ROWS):
+            rows = held[start : start + _ROWS]
             texts = [row[4] if start + i in first else None for i, row in enumerate(rows)]
             columns = [
                 *[[row[i] for row in rows] for i in range(4)],
@@ -146,9 +157,8 @@ def judged(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, trie, size = [], Trie(), 0
-        for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for doc_id, source, tag, text, n_chars in zip(*columns):
+        for rows in _values(batches):
+            for doc_id, source, tag, text, n_chars in rows:
                 if doc_id is not None:
                     trie.insert(text, (doc_id, len(held)))
                 held.append((doc_id, source, tag, mask_of(text, n_chars), text))
@@ -223,8 +233,8 @@ def smallest(rows: DataFrame) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, trie = None, Trie()
-        for batch in batches:
-            for doc_id, tag, text, prefix in zip(*[column.to_pylist() for column in batch.columns]):
+        for rows in _values(batches):
+            for doc_id, tag, text, prefix in rows:
                 if prefix != now and trie.bytes > LOCAL_BYTES:
                     yield flush(trie)
                     trie = Trie()
