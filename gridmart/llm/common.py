@@ -9,11 +9,14 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from gridmart.session import new_folder
 
 
+# Stands for a null id in keys; it is greater than any id.
+NO_ID = (1 << 63) - 1
+
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -68,7 +71,7 @@ def row_key(tag: Column) -> list[Column]:
     """
     missing = F.col("doc_id").isNull()
     return [
-        F.coalesce(F.col("doc_id"), F.lit(-1)).cast("long").alias("_id"),
+        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("_id"),
         F.when(missing, F.bitwise_not(tag)).otherwise(tag).alias("_tag"),
     ]
 
@@ -89,6 +92,11 @@ def once(docs: DataFrame, tag: Column) -> tuple[DataFrame, DataFrame]:
     return keyed.join(several, keys, "left_anti").union(copied), copied
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as they are, whatever characters they hold."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def on_keys(left: str, right: str, keys: Iterable[str]) -> Column:
     """Equality of the keys of two aliased tables, null meeting null."""
     condition = F.lit(True)
@@ -152,7 +160,19 @@ def map_arrow(
             if trim:
                 trim(0)
 
-    return frame.mapInArrow(trimmed, schema)
+    if isinstance(schema, str) or not any(set(".`") & set(name) for name in frame.columns):
+        return frame.mapInArrow(trimmed, schema)
+
+    # Spark reads a dot in the name of a column as a field of it: plain names in between.
+    names, results = frame.columns, schema.names
+    plain = frame.toDF(*[f"c{i}" for i in range(len(names))])
+    fields = [StructField(f"c{i}", field.dataType) for i, field in enumerate(schema)]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in trimmed(batch.rename_columns(names) for batch in batches):
+            yield batch.rename_columns([f"c{i}" for i in range(len(results))])
+
+    return plain.mapInArrow(renamed, StructType(fields)).toDF(*results)
 
 
 def pa_schema(spark: SparkSession, schema: str) -> pa.Schema:

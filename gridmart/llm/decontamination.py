@@ -39,6 +39,8 @@ class Block:
     ``vocabulary`` numbers the words from 1; ``tokens`` has the items end to end, a zero
     after each; ``starts`` are the places of the suffixes to search, ``sizes`` the words
     that must match for a hit, ``items`` the item of each, as an index into ``item_ids``.
+    Equal windows are one group: ``group`` is that of each suffix, ``first`` the first suffix of
+    each group, and ``members`` from ``begins`` on are its items, each once.
     """
 
     def __init__(self, window: int):
@@ -63,8 +65,19 @@ class Block:
             self.items.append(index)
 
     def packed(self) -> dict:
+        numbers: dict[tuple[int, ...], int] = {}
+        groups = [
+            numbers.setdefault(tuple(self.tokens[start : start + size]), len(numbers))
+            for start, size in zip(self.starts, self.sizes)
+        ]
+        group, item = np.array(groups, np.int64), np.array(self.items, np.int64)
+        pairs = np.unique(np.stack([group, item], 1).reshape(-1, 2), axis=0)
         return {
             "window": self.window,
+            "group": group,
+            "first": np.unique(group, return_index=True)[1],
+            "members": pairs[:, 1],
+            "begins": np.searchsorted(pairs[:, 0], np.arange(len(numbers) + 1)),
             "vocabulary": self.vocabulary,
             "item_ids": self.item_ids,
             "tokens": np.array(self.tokens + [0] * self.window, np.uint32),
@@ -100,9 +113,14 @@ def _rows_at(tokens: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(view[places].astype(">u4")).view(f"V{4 * width}").ravel()
 
 
-def search(corpus: list[list[bytes]], block: dict) -> dict[str, np.ndarray]:
+def search(
+    corpus: list[list[bytes]], block: dict, every: bool = True
+) -> dict[str, np.ndarray]:
     """All occurrences of the block's windows in a shard, with the longest match of each.
 
+    Not ``every``: of equal windows the first is searched, and without the longest match, so
+    a window that many items hold costs one row for each place it occurs at.
+
     The shard's suffix array holds every suffix that starts with as many benchmark words
     as the shortest window has: no other suffix can match. It is sorted to the depth of a
     window; each benchmark suffix is looked up by two binary searches, which bound the
@@ -131,8 +149,9 @@ def search(corpus: list[list[bytes]], block: dict) -> dict[str, np.ndarray]:
     suffixes, keys = places[order], keys[order]
 
     found = []
+    asked = np.arange(len(block["sizes"])) if every else block["first"]
     for size in np.unique(block["sizes"]).tolist():
-        which = np.flatnonzero(block["sizes"] == size)
+        which = asked[block["sizes"][asked] == size]
         prefix = np.zeros((len(which), window), ">u4")
         view = np.lib.stride_tricks.sliding_window_view(block["tokens"], window)
         prefix[:, :size] = view[block["starts"][which], :size]
@@ -150,7 +169,7 @@ def search(corpus: list[list[bytes]], block: dict) -> dict[str, np.ndarray]:
 
     length = size.copy()
     tokens, starts = block["tokens"], block["starts"]
-    live = np.arange(len(hit))
+    live = np.arange(len(hit) if every else 0)
     while len(live):
         mine = tokens[np.minimum(starts[hit[live]] + length[live], len(tokens) - 1)]
         theirs = flat[np.minimum(at[live] + length[live], len(flat) - 1)]
@@ -160,11 +179,11 @@ def search(corpus: list[list[bytes]], block: dict) -> dict[str, np.ndarray]:
     return {"doc": doc, "place": at - bases[doc], "size": size, "length": length, "suffix": hit}
 
 
-def _search_blocks(corpus: list[list[bytes]], blocks: list):
+def _search_blocks(corpus: list[list[bytes]], blocks: list, every: bool):
     """(packed block, occurrences) of each block; with several, one is in memory at a time."""
     for block in blocks:
         packed = block.value
-        yield packed, search(corpus, packed)
+        yield packed, search(corpus, packed, every)
         if len(blocks) > 1:
             block._value = None
             del block._value
@@ -192,7 +211,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
         texts = [text or "" for text in rows.column("text").to_pylist()]
         for first, last in chunks(texts, SHARD_CHARS):
             corpus = [words(text) for text in texts[first:last]]
-            for block, found in _search_blocks(corpus, blocks):
+            for block, found in _search_blocks(corpus, blocks, True):
                 place = block["starts"][found["suffix"]]
                 # A tail of a longer match has the same words before it on both sides.
                 key = list(zip(found["doc"].tolist(), found["place"].tolist(), place.tolist()))
@@ -240,12 +259,20 @@ def _judge(blocks: list):
         corpus = [words(text) for text in texts]
         spans: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         items: dict[int, set[str]] = {}
-        for block, found in _search_blocks(corpus, blocks):
-            item = block["items"][found["suffix"]]
-            for doc in np.unique(found["doc"]).tolist():
-                mine = found["doc"] == doc
-                spans.setdefault(doc, []).append((found["place"][mine], found["size"][mine]))
-                names = {str(block["item_ids"][i]) for i in np.unique(item[mine]).tolist()}
+        for block, found in _search_blocks(corpus, blocks, False):
+            order = np.argsort(found["doc"], kind="stable")
+            hit, place, size = (found[name][order] for name in ("doc", "place", "size"))
+            group = block["group"][found["suffix"][order]]
+            edges = np.flatnonzero(np.concatenate([[True], hit[1:] != hit[:-1], [True]]))
+            edges = edges if len(hit) else edges[:0]
+            for low, high in zip(edges.tolist(), edges[1:].tolist()):
+                doc = int(hit[low])
+                spans.setdefault(doc, []).append((place[low:high], size[low:high]))
+                held = [
+                    block["members"][block["begins"][g] : block["begins"][g + 1]]
+                    for g in np.unique(group[low:high]).tolist()
+                ]
+                names = [str(block["item_ids"][i]) for i in np.unique(np.concatenate(held))]
                 items.setdefault(doc, set()).update(names)
         for doc, parts in enumerate(corpus):
             hit = 0

@@ -34,6 +34,9 @@ SHORT = 512
 # At most so many bytes of dictionaries in all, however many languages there are.
 ALL_BYTES = 64 << 20
 
+# Counts of so many languages are broadcast; of more they are joined by shuffles.
+MANY = 1 << 16
+
 # Texts of a few words may tie: then a code length in bits decides between the languages that do.
 # Letters and their contexts in the code length, the weight of a shorter context, and the
 # share kept for letters that a language has not shown. Letters coded at once are bounded.
@@ -71,6 +74,9 @@ def learn(
     near = F.pmod(order, F.lit(1 << 20))
     counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     share = near * F.col("n") < F.lit(2 * sample << 20)
+    languages_found = counts.count()
+    if languages_found <= MANY:
+        counts = F.broadcast(counts)
     some = labelled.select("lang", "text", "doc_id").join(counts, "lang").filter(share)
     best = Window.partitionBy("lang").orderBy(near, order)
     some = some.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= sample)
@@ -78,7 +84,7 @@ def learn(
     letters = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " "))
     some = some.select("lang", "place", letters.alias("letters"))
     before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    size = min(size, ALL_BYTES // max(1, counts.count()))
+    size = min(size, ALL_BYTES // max(1, languages_found))
     some = some.withColumn("start", F.coalesce(F.sum(F.length("letters")).over(before), F.lit(0)))
     room = F.lit(size) - F.col("start")
     some = some.filter(room > 0).select(

@@ -30,7 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import forget, map_arrow, map_batches, once, row_key, stored, whole
+from gridmart.llm.common import (
+    forget,
+    map_arrow,
+    map_batches,
+    once,
+    quoted,
+    row_key,
+    stored,
+    whole,
+)
 
 WINDOW = 200
 
@@ -384,7 +393,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     spans = repeated_windows(docs, window)
     columns = docs.columns
-    keyed = docs.select(F.struct(*columns).alias("_row"), *row_key(F.xxhash64("text")))
+    keyed = docs.select(F.struct(*quoted(columns)).alias("_row"), *row_key(F.xxhash64("text")))
     joined = keyed.join(spans, ["_id", "_tag"], "left").select("_row", "spans")
     place = columns.index("text")
 

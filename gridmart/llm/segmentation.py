@@ -328,6 +328,14 @@ class Lattices:
         return tuple(path), log_p
 
 
+class _Numbers(dict):
+    """Numbers of units; a new unit gets the next one."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 class Kept:
     """The lattices of units that come up again and again in a task, of bounded number."""
 
@@ -519,8 +527,8 @@ def sample_texts(
     vocabulary: Vocabulary, texts: list[str], seeds: list[int], samples: int
 ) -> Iterator[tuple[int, int, float, float, float, np.ndarray]]:
     """(text, rank, log probability, perturbed value, log inclusion, ids) of each sample."""
-    numbers = dict(vocabulary.kept.numbers)
-    parts = [[numbers.setdefault(u, len(numbers)) for u in units(text)] for text in texts]
+    numbers = _Numbers(vocabulary.kept.numbers)
+    parts = [list(map(numbers.__getitem__, units(text))) for text in texts]
     lattices = vocabulary.kept.table(vocabulary, numbers)
     searches = [
         _Search(lattices, np.array(part, np.int64), seed & _MASK, samples)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import chunks, map_batches, row_key, stored
+from gridmart.llm.common import chunks, map_batches, quoted, row_key, stored
 from gridmart.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -213,6 +213,6 @@ def deduplicate(docs: DataFrame, size: int = SHINGLE_WORDS, bits: int = MAX_BITS
         .select("kept.doc_id", "kept.tag")
         .select(*row_key(F.col("tag")))
     )
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *row_key(text_tag()))
+    keyed = docs.select(F.struct(*quoted(docs.columns)).alias("_row"), *row_key(text_tag()))
     once = keyed.join(kept, ["_id", "_tag"], "left_semi").dropDuplicates(["_id", "_tag"])
     return once.select("_row.*")

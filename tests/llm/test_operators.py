@@ -204,6 +204,16 @@ def test_repeated_bytes(docs, rows, empty, window):
         assert repeats.without_repeats(docs, window).columns == docs.columns
 
 
+def test_null_ids_link_nothing_by_themselves(spark):
+    """Two texts that each share a passage with another text of a null id have two classes."""
+    rng = random.Random(12)
+    one, two, three = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(3))
+    rows = [(3, one), (None, one + " a"), (4, two), (None, two + " b"), (None, three), (None, three + " c")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ordered((r.doc_id, r.n_shared, r.class_id) for r in passages.near_passages(frame).collect())
+    assert found == ordered([(3, 80, 3), (None, 80, 3), (4, 80, 4), (None, 80, 4), (None, 80, None), (None, 80, None)])
+
+
 def test_near_passages(spark, empty):
     rng = random.Random(3)
     draw = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
@@ -327,6 +337,56 @@ def test_long_units_are_not_kept(spark, monkeypatch):
     )
 
 
+def test_repeated_short_items_cost_a_row_a_place():
+    """Many equal items of one word in a text that is full of the word."""
+    block = decontamination.Block(13)
+    for item in range(800):
+        block.add(item, [b"hot"])
+    block.add(800, [b"hot", b"cold"])
+    packed = block.packed()
+    text = [b"hot"] * 4000 + [b"cold"]
+    found = decontamination.search([text, [b"cold"], text], packed, every=False)
+    assert len(found["doc"]) == 2 * 4001
+    assert len(decontamination.search([text[:5]], packed)["doc"]) == 5 * 800
+
+
+def test_contamination_by_repeated_items(spark):
+    items = spark.createDataFrame(
+        [(i, "Hot") for i in range(300)] + [(300, "hot cold"), (301, "cold hot")],
+        "item_id long, text string",
+    )
+    rows = [(1, "hot " * 3000), (2, "x hot cold y"), (3, "cold"), (4, "hot")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in decontamination.contamination(frame, items).collect()}
+    every = ",".join(sorted(str(i) for i in range(300)))
+    assert [(found[i].n_hit, found[i].n_items) for i in (1, 2, 3, 4)] == [
+        (3000, 300), (2, 301), (0, 0), (1, 300)]
+    assert found[1].items_sha256 == hashlib.sha256(every.encode()).hexdigest()
+
+
+def test_matches_are_the_longest_verbatim_ones(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    text = "a b " + " ".join(f"w{i}" for i in range(5, 22)) + " c " + " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, text), (2, item), (3, None)], "doc_id long, text string")
+    assert ordered(collected(decontamination.matches(docs, items))) == ordered(
+        [(1, 2, "7", 5, 17), (2, 0, "7", 0, 30)]
+    )
+
+
+def test_columns_of_any_name_are_kept(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, `a.b` long, `x y` long, _tag int"
+    frame = spark.createDataFrame([(i, t, "en", "s", 1, 5, 6, 7) for i, t in rows], schema)
+    for kept in (
+        simhash.deduplicate(frame),
+        repeats.without_repeats(frame),
+        language.accepted(frame),
+        decontamination.decontaminate(frame, spark.createDataFrame([], "item_id long, text string")),
+    ):
+        assert kept.columns == frame.columns
+        assert {(r["a.b"], r["x y"], r["_tag"]) for r in kept.collect()} <= {(5, 6, 7)}
+
+
 def test_contamination(spark, docs, empty):
     long_item = " ".join(f"q{i}" for i in range(20))
     items = spark.createDataFrame(
