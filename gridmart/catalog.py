@@ -17,6 +17,7 @@ from gridmart.functions import calendar, values
 from gridmart.operators import checks, flatten, hourly, keys, slots
 from gridmart.operators.upsert import upsert
 from gridmart.plans import ingest, quality
+from gridmart.plans.hours import GENERATION_HOURS, refresh_hours, refreshed_hours
 from gridmart.plans.models import build_models, store_hourly, stored_models
 from gridmart.plans.pipeline import run_days
 from gridmart.schemas import (
@@ -502,6 +503,22 @@ def upsert_prices(m: Market) -> DataFrame:
     return _upserted(table, m.prices(), "price_eur_mwh")
 
 
+@query
+def hourly_generation_refreshed(m: Market) -> DataFrame:
+    """Hours kept up to date over two upserts; the second changes the first half of each hour."""
+    path = new_folder(m.spark, "generation")
+    table = tables.generation_table(m.spark, path)
+    states = GENERATION_HOURS.table(m.spark, f"{path}_hours")
+    rows = m.generation()
+    upsert(table, rows.filter(F.col(DAY) <= _TARGET_UNTIL))
+    refresh_hours(table, states, GENERATION_HOURS)
+    early = (F.col(DAY) >= _BATCH_FROM) & (F.minute(START) < 30)
+    moved = F.col("generation_mw") + F.dayofmonth(DAY) - 20
+    upsert(table, rows.filter(early).withColumn("generation_mw", moved))
+    refresh_hours(table, states, GENERATION_HOURS)
+    return refreshed_hours(states, GENERATION_HOURS)
+
+
 @query
 def price_csv_roundtrip(m: Market) -> DataFrame:
     root = new_folder(m.spark, "csv")

@@ -612,6 +612,18 @@ ORACLE: dict[str, str] = {
                event_id, ROUND(value, 6) AS value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id % 4, date_trunc('hour', ts)
                                    ORDER BY ts DESC, event_id DESC) = 1""",
+    "hourly_generation_refreshed": _with(
+        "gen",
+        f""", merged AS (
+            SELECT * REPLACE (generation_mw + day(delivery_date_local) - 20 AS generation_mw)
+            FROM gen
+            WHERE delivery_date_local >= DATE '2024-01-15' AND minute(delivery_start_utc) < 30
+            UNION ALL
+            SELECT * FROM gen WHERE delivery_date_local <= DATE '2024-01-20'
+            AND NOT (delivery_date_local >= DATE '2024-01-15' AND minute(delivery_start_utc) < 30)),
+        hours AS ({_hourly("merged", _GEN_KEYS, "generation_mw")})
+        SELECT {_GEN_KEYS}, hour_start_utc, {_GEN_SPREAD}, intervals_available FROM hours""",
+    ),
     "ingest_generation": _ALL_GEN,
     "ingest_prices": _with(
         "price",

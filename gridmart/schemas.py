@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 DEFAULT_ZONE = "Europe/Rome"
 
 DAY = "delivery_date_local"
@@ -23,9 +25,14 @@ RAW_PRICES = """
 PRICE_KEY = ["bidding_zone", "delivery_start_utc"]
 
 
+def column_types(schema: str) -> dict[str, str]:
+    """Names and types in a column list; commas in brackets are parts of a type."""
+    fields = re.split(r",(?![^(]*\))", schema)
+    return {name: kind.strip() for name, kind in (field.split(maxsplit=1) for field in fields)}
+
+
 def column_names(schema: str) -> list[str]:
-    """Names in a column list whose types hold no commas."""
-    return [field.split()[0] for field in schema.split(",")]
+    return list(column_types(schema))
 
 
 GENERATION_COLUMNS = column_names(RAW_GENERATION)
@@ -47,6 +54,14 @@ HOURLY_PRICES = """
     intervals_available bigint, delivery_date_local date
 """
 
+# What the points of an hour add up to. Totals are decimal, so that taking a point out again
+# leaves what it was before.
+HOUR_TOTAL = "decimal(30,9)"
+HOUR_STATE = """
+    hour_start_utc timestamp, total decimal(30,9), known bigint, rows bigint,
+    low double, high double, delivery_date_local date
+"""
+
 # Every text stays a string here: what counts as missing and what must raise is
 # decided after the parse. Fields not listed are skipped by the parser.
 GENERATION_DOCUMENT = """

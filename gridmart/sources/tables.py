@@ -17,16 +17,18 @@ from gridmart.schemas import (
     GENERATION_HOUR_KEY,
     GENERATION_KEY,
     HOUR_KEY,
+    HOUR_STATE,
     HOURLY_GENERATION,
     HOURLY_PRICES,
     PRICE_KEY,
     RAW_GENERATION,
     RAW_PRICES,
     column_names,
+    column_types,
 )
 
 # What the log holds of every file: its place, key range and the commit that listed it.
-_RANGE = "rows bigint, low struct<{key}>, high struct<{key}>, born int, commit bigint"
+_RANGE = "rows bigint, low struct<{key}>, high struct<{key}>, born int, commit bigint, source bigint"
 
 # Every so many commits one lists all days, so that readers need no older ones.
 _WHOLE_EVERY = 10
@@ -88,36 +90,46 @@ class DayTable:
         batch.write.parquet(folder)
         return folder, self.spark.read.schema(batch.schema).parquet(folder)
 
-    def replace_days(self, rows: DataFrame) -> None:
+    def replace_days(self, rows: DataFrame, source: int | None = None) -> None:
         """Replace exactly the days that occur in ``rows``, which may be read from the table."""
         written = self._write(rows)
         for _ in range(_ATTEMPTS):
             try:
-                return self._commit(self._last(), written)
+                return self._commit(self.last(), written, source)
             except ConcurrentWrite:
                 continue
         raise ConcurrentWrite(self.path)
 
-    def merge(self, batch: DataFrame) -> None:
-        """Put the rows of ``batch``, of unique keys without nulls, in place of those with their keys.
+    def merge(
+        self, batch: DataFrame, gone: DataFrame | None = None, source: int | None = None
+    ) -> None:
+        """Put the rows of ``batch``, of unique keys without nulls, in place of those with their
+        keys, and leave out those with the keys of ``gone``, which holds days and keys.
 
-        Only files whose key range may hold a key of the batch are read and written anew;
-        the others of its days stay as they are. ``batch`` should be stored: it is
-        read several times.
+        Only files whose key range may hold such a key are read and written anew; the
+        others of these days stay as they are. Both should be stored: they are read several
+        times. ``source`` is noted with the commit, for tables made from another one.
         """
-        days = listed_days(batch)
+        places = [DAY, *self.key]
+        touched = batch.select(*places)
+        if gone is not None:
+            touched = touched.union(gone.select(*places))
+        days = listed_days(touched)
         if not days:
             return
         for _ in range(_ATTEMPTS):
-            base = self._last()
+            base = self.last()
             files = self.files(days, base)
-            met = self._met(files, batch).collect()
-            rows = merge_rows(self._rows(met), batch.select(*self.columns), self.key)
+            met = self._met(files, touched).collect()
+            old = self._rows(met)
+            if gone is not None:
+                old = old.join(gone.select(*self.key), self.key, "left_anti")
+            rows = merge_rows(old, batch.select(*self.columns), self.key)
             written = self._write(rows if met else batch)
             known = self.spark.createDataFrame(met, files.select(*self._place, "born").schema)
             kept = files.join(known, self._place, "left_anti")
             try:
-                return self._commit(base, kept.unionByName(written))
+                return self._commit(base, kept.unionByName(written), source)
             except ConcurrentWrite:
                 continue
         raise ConcurrentWrite(self.path)
@@ -144,8 +156,8 @@ class DayTable:
 
     @property
     def _record(self) -> str:
-        types = dict(field.split(maxsplit=1) for field in self.schema.split(","))
-        key = ", ".join(f"{name}: {types[name].strip()}" for name in self.key)
+        types = column_types(self.schema)
+        key = ", ".join(f"{name}: {types[name]}" for name in self.key)
         return f"{DAY} date, {_VERSION} string, file string, {_RANGE.format(key=key)}"
 
     @property
@@ -163,9 +175,40 @@ class DayTable:
                     found[int(name.removesuffix(_WHOLE))] = f"{self._log}/{name}"
         return found
 
-    def _last(self) -> int | None:
+    def last(self) -> int | None:
+        """The number of the last commit."""
         return max(self.commits(), default=None)
 
+    def source(self) -> int | None:
+        """The greatest ``source`` noted with what the table holds."""
+        return self.files().agg(F.max("source")).first()[0]
+
+    def changes(self, since: int, until: int) -> DataFrame | None:
+        """Rows that a commit has and an earlier one has not, or has otherwise: ``sign`` 1 for
+        those it has, -1 for those it lost. None if the files of the earlier one are gone.
+
+        Only files that one of the two lists and the other does not are read: the rows
+        rewritten as they were meet by key and drop out.
+        """
+        before, after = self.files(at=since), self.files(at=until)
+        lost = self._places(before.join(after, self._place, "left_anti"))
+        fresh = self._places(after.join(before, self._place, "left_anti"))
+        paths = [f"{self._folder(row)}/{row['file']}" for row in lost]
+        if since not in self.commits() or not all(_exists(self.spark, path) for path in paths):
+            return None
+        old, new = self._rows(lost), self._rows(fresh)
+        rest = [name for name in self.columns if name not in self.key]
+        both = old.select(*self.key, F.struct(*rest).alias("old")).join(
+            new.select(*self.key, F.struct(*rest).alias("new")), self.key, "full_outer"
+        )
+        sides = [
+            F.struct(F.lit(-1).alias("sign"), F.col("old").alias("row")),
+            F.struct(F.lit(1).alias("sign"), F.col("new").alias("row")),
+        ]
+        changed = both.filter(~F.col("old").eqNullSafe(F.col("new")))
+        signed = changed.select(*self.key, F.explode(F.array(*sides)).alias("side"))
+        return signed.filter("side.row IS NOT NULL").select(*self.key, "side.row.*", "side.sign")
+
     def files(self, days: Iterable[dt.date] | None = None, at: int | None = None) -> DataFrame:
         """The files of the table, or of some days, as of a commit or the last one."""
         commits = self.commits()
@@ -185,19 +228,26 @@ class DayTable:
         return files.select(*self._place, "born").collect()
 
     def _rows(self, files: list[Row]) -> DataFrame:
-        """The rows of some files; a folder all of whose files are wanted is named as one path."""
+        """The rows of some files."""
+        paths = self._paths(files)
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return reader.parquet(*paths).select(*self.columns)
+
+    def _folder(self, file: Row) -> str:
+        return f"{self.path}/{_VERSION}={file[_VERSION]}/{DAY}={file[DAY].isoformat()}"
+
+    def _paths(self, files: list[Row]) -> list[str]:
+        """Paths of some files; a folder all of whose files are wanted is one path."""
         folders: dict[str, list] = {}
         for row in files:
-            folder = f"{self.path}/{_VERSION}={row[_VERSION]}/{DAY}={row[DAY].isoformat()}"
-            folders.setdefault(folder, []).append(row)
+            folders.setdefault(self._folder(row), []).append(row)
         paths = []
         for folder, rows in sorted(folders.items()):
             whole = len(rows) == rows[0]["born"]
             paths += [folder] if whole else [f"{folder}/{row['file']}" for row in rows]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        return reader.parquet(*paths).select(*self.columns)
+        return paths
 
     def _write(self, rows: DataFrame) -> DataFrame:
         """Store rows as files of a new version, and list these.
@@ -220,10 +270,11 @@ class DayTable:
         # Sorted files: their first and last rows hold the range, whatever lies between.
         stored = self.spark.read.schema(self.schema).parquet(folder)
         file, at = F.col("_metadata.file_name"), F.col("_metadata.row_index")
-        ends = stored.groupBy(file.alias("file")).agg(F.max(at).alias("end"))
+        # A task gives its files of all days one name.
+        ends = stored.groupBy(DAY, file.alias("file")).agg(F.max(at).alias("end"))
         edges = (
             stored.select(DAY, file.alias("file"), at.alias("at"), F.struct(*self.key).alias("key"))
-            .join(ends, "file")
+            .join(ends, [DAY, "file"])
             .filter("at = 0 OR at = end")
         )
         listed = edges.groupBy(DAY, "file").agg(
@@ -239,9 +290,10 @@ class DayTable:
             "high",
             born.alias("born"),
             F.lit(None).cast("long").alias("commit"),
+            F.lit(None).cast("long").alias("source"),
         )
 
-    def _commit(self, base: int | None, files: DataFrame) -> None:
+    def _commit(self, base: int | None, files: DataFrame, source: int | None = None) -> None:
         """List ``files`` as all that their days hold, as the commit after ``base``."""
         number = 0 if base is None else base + 1
         whole = number % _WHOLE_EVERY == 0
@@ -250,6 +302,8 @@ class DayTable:
             rest = self.files(at=base).join(files.select(DAY).distinct(), DAY, "left_anti")
             record = record.unionByName(rest)
         folder = f"{self._log}/writing-{uuid.uuid4().hex}"
+        if source is not None:
+            record = record.withColumn("source", F.lit(source).cast("long"))
         record.withColumn("commit", F.lit(number).cast("long")).coalesce(1).write.parquet(folder)
         taken = number in self.commits()
         if taken or not _rename(self.spark, folder, f"{self._log}/{number:012d}{_WHOLE * whole}"):
@@ -304,6 +358,12 @@ def hourly_price_table(spark: SparkSession, path: str) -> DayTable:
     return DayTable(spark, path, HOURLY_PRICES, HOUR_KEY)
 
 
+def hour_state_table(spark: SparkSession, path: str, kind: list[str]) -> DayTable:
+    """Mergeable states of the hours of series named by ``kind``."""
+    names = ", ".join(f"{name} string" for name in kind)
+    return DayTable(spark, path, f"{names}, {HOUR_STATE}", [*kind, "hour_start_utc"])
+
+
 def listed_days(rows: DataFrame, day: str = DAY) -> list[dt.date]:
     """The days in ``rows``, of which a calendar holds few."""
     return sorted(row[0] for row in rows.select(day).distinct().collect())
