@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import stored
+from gridmart.llm.common import forget, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -46,7 +46,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
     mark = _mark(now)
     for _ in range(rounds):
-        now = stored(_star(_star(now, True).distinct(), False).distinct(), "edges")
+        last, now = now, stored(_star(_star(now, True).distinct(), False).distinct(), "edges")
+        forget(last)
         before, mark = mark, _mark(now)
         if mark == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
