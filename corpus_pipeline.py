@@ -1,7 +1,9 @@
 """A training corpus from raw documents, stage by stage.
 
-Every stage reads what the one before it stored and keeps the columns of ``documents``;
-the last returns sampled segmentations of what is left.
+Every stage reads what the one before it stored and keeps the columns of ``documents``,
+whatever their names; the last returns sampled segmentations of what is left. Null texts
+count as empty, null ids are told apart by their texts, repeated rows are copies, texts of
+any length are taken whole, and an empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import decontamination, language, repeats, segmentation, simhash
-from gridmart.llm.common import benchmark, documents, stored
+from gridmart.llm.common import benchmark, documents, forget, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,17 +24,20 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or as near to two languages, go."""
+    """Documents without letters, or almost as near to a second language, go. Short texts that
+    tie in packed size stay if their letters tell."""
     return language.accepted(docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays; of several rows with
+    that id the text with the smaller hash, of equal rows one. A null id comes last."""
     return simhash.deduplicate(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated strings are cut out of the texts; rows stay, n_chars follows the text."""
+    """Repeated strings are cut out of the texts, at every place they stand at; rows stay, also
+    those of which nothing is left, a null text stays null, n_chars follows the text."""
     cut = repeats.without_repeats(docs)
     return cut.withColumn(
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -40,12 +45,12 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a word in 20 lies in benchmark passages go."""
+    """Documents of which a word in 20 lies in benchmark passages go; texts without words stay."""
     return decontamination.decontaminate(docs, benchmark(spark, sf_dir))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two distinct segmentations of every remaining text."""
+    """Two distinct segmentations of every remaining text, one if it has no more."""
     return segmentation.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
@@ -59,8 +64,11 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
-    docs = documents(spark, sf_dir)
+    """All stages over the whole of ``documents``; a stage's table goes once the next has read it."""
+    docs, first = documents(spark, sf_dir), True
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        kept = stored(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        if not first:
+            forget(docs)
+        docs, first = kept, False
     return STAGES[-1][1](spark, docs, sf_dir)
