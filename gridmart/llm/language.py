@@ -28,7 +28,7 @@ SPAN = 96
 
 # A text of SHORT bytes or more is rejected if the second best language needs at most this
 # share more bytes than the best. Texts without letters are always rejected.
-MIN_MARGIN = 0.04
+MIN_MARGIN = 0.02
 SHORT = 512
 
 # At most so many bytes of dictionaries in all, however many languages there are.
