@@ -137,15 +137,25 @@ def price_verdicts(points: DataFrame, scope: list[str]) -> DataFrame:
 
 
 def verdict_error() -> Column:
-    """The first check that fails, in the order a run would meet them; null if none."""
+    """The first check that a batch of points fails, in the order a run would meet them; null if
+    none."""
+    return (
+        F.when(F.col("unreadable_rows") > 0, "unreadable text")
+        .when(F.col("rows") == 0, "no points")
+        .when(F.col("null_rows") > 0, "null values")
+        .when(F.col("mixed_resolutions") > 0, "several resolutions")
+        .when(F.col("duplicate_rows") > 0, "duplicate keys")
+    )
+
+
+def document_error() -> Column:
+    """The same for a document, of which the points before the day filter are known too."""
     return (
         F.when(F.col("malformed") > 0, "malformed")
         .when(F.col("unreadable_rows") > 0, "unreadable text")
         .when(F.col("parsed_rows") == 0, "no points")
         .when(F.col("rows") == 0, "no points in the day")
-        .when(F.col("null_rows") > 0, "null values")
-        .when(F.col("mixed_resolutions") > 0, "several resolutions")
-        .when(F.col("duplicate_rows") > 0, "duplicate keys")
+        .otherwise(verdict_error())
     )
 
 

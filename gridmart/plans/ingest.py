@@ -76,7 +76,7 @@ def document_verdicts(docs: DataFrame, points: DataFrame, feed: Feed) -> DataFra
         .join(parsed, "path", "left")
         .join(counts, "path", "left")
     )
-    return joined.fillna(0).withColumn("error", checks.verdict_error())
+    return joined.fillna(0).withColumn("error", checks.document_error())
 
 
 def ingest(
