@@ -25,6 +25,7 @@ from gridmart.llm import (
     simhash,
     token_counts,
 )
+from gridmart.llm.common import NO_ID
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tag long, _id long"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -270,7 +271,7 @@ def test_copies_of_a_row_are_one_document(spark, monkeypatch):
     rows = [(None, text)] * 200 + [(7, "short")] * 3 + [(8, text[:900]), (9, "other " * 9)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     spans = {r._id: len(r.spans) for r in repeats.repeated_windows(frame).collect()}
-    assert spans.keys() == {-1, 8} and max(spans.values()) < 200
+    assert spans.keys() == {NO_ID, 8} and max(spans.values()) < 200
     assert ordered(collected(repeats.repeats(frame))) == ordered(simple_repeats(rows, 200))
 
     most, places = [], passages._places
