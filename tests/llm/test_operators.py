@@ -265,6 +265,41 @@ def test_passages_are_compared_where_they_align(short_passages):
     assert len({r._id // 2 for r in found}) >= 0.9 * len(texts) / 2
 
 
+def test_like_passages_of_one_key_are_all_compared(spark):
+    """Chains of texts, each a word from the next: no text is like all others of its chain."""
+    rng, texts = random.Random(1), []
+    for chain in range(20):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(50)]
+        places = [25, *rng.sample([i for i in range(5, 45) if i != 25], 19)]
+        for step, place in enumerate(places):
+            texts.append(" ".join(words))
+            words[place] = f"e{chain}_{step}"
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(46)})
+    pairs = [(a, b) for a in range(400) for b in range(a + 1, min(400, a + 20))]
+    alike = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    found = {(min(r._id, r.to_id), max(r._id, r.to_id)) for r in passages.links(frame).collect()}
+    assert len(alike) >= 380 and found <= alike and len(found) >= 0.99 * len(alike)
+
+
+def test_blocks_of_a_key_meet_each_other(spark, monkeypatch):
+    """A passage in 40 versions of 40 texts: links do not depend on the blocks of a key."""
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(49)]
+    rows = []
+    for i in range(40):
+        before = [f"x{rng.randrange(10**9)}" for _ in range(i)]
+        rows.append((i, " ".join([*before, f"e{i}", *base])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = ordered(collected(passages.links(frame)))
+    assert len({(min(r[0], r[4]), max(r[0], r[4])) for r in expected}) == 40 * 39 // 2
+    monkeypatch.setattr(passages, "_BLOCK", 4)
+    assert ordered(collected(passages.links(frame))) == expected
+
+
 def test_copies_of_a_row_are_one_document(spark, monkeypatch):
     rng = random.Random(9)
     text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
