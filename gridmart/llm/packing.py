@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,32 +46,64 @@ class Encoder:
         for token, rank in ranks.items():
             self.token_bytes[rank] = len(token)
         self.dtype = np.dtype("<u2" if len(self.token_bytes) <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # The ids of unit number n are ``ids[begin[n] : begin[n] + size[n]]``.
+        self.numbers = _Numbers()
+        self.ids = np.zeros(0, self.dtype)
+        self.begin = self.size = np.zeros(0, np.int64)
 
     def _learn(self, new: list[str]) -> None:
         # Units that begin with a blank may be encoded as one text, cut by byte lengths.
-        plain = [unit for unit in new if unit[0] == " " and not unit[-1].isspace()]
-        ids = np.array(self.encoding.encode_ordinary("".join(plain)), self.dtype)
-        ends = np.cumsum([len(unit.encode()) for unit in plain])
+        alone = [i for i, unit in enumerate(new) if unit[0] != " " or unit[-1].isspace()]
+        other = [new[i] for i in alone]
+        plain = np.ones(len(new), bool)
+        plain[alone] = False
+        text = "".join([unit for unit, fits in zip(new, plain.tolist()) if fits])
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new))[plain])
+        if not text.isascii():
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))[ends]
+        ids = np.array(self.encoding.encode_ordinary(text), self.dtype)
         cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-        packed, width = ids.tobytes(), self.dtype.itemsize
-        first = 0
-        for unit, cut in zip(plain, (cuts * width).tolist()):
-            self.cache[unit] = packed[first:cut]
-            first = cut
-        for unit in new:
-            if unit not in self.cache:
-                one = self.encoding.encode_ordinary(unit)
-                self.cache[unit] = np.array(one, self.dtype).tobytes()
+        each = [np.array(self.encoding.encode_ordinary(unit), self.dtype) for unit in other]
+        size = np.zeros(len(new), np.int64)
+        size[plain] = np.diff(cuts, prepend=0)
+        size[alone] = [len(one) for one in each]
+        begin = np.zeros(len(new), np.int64)
+        begin[plain] = np.append(0, cuts)[:-1]
+        begin[alone] = len(ids) + np.cumsum(size[alone]) - size[alone]
+        self.begin = np.append(self.begin, begin + len(self.ids))
+        self.size = np.append(self.size, size)
+        self.ids = np.concatenate([self.ids, ids, *each])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian numbers end to end."""
-        parts = [units(text) for text in texts]
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        self._learn([u for u in set().union(*parts) if u not in self.cache])
-        get = self.cache.__getitem__
-        return [b"".join(map(get, part)) for part in parts]
+        if len(self.numbers) > CACHED:
+            self._forget()
+        known, found, counts = len(self.numbers), [], []
+        for text in texts:
+            part = units(text)
+            found += map(self.numbers.__getitem__, part)
+            counts.append(len(part))
+        if len(self.numbers) > known:
+            self._learn(list(islice(self.numbers, known, None)))
+        number = np.array(found, np.int64)
+        size = self.size[number]
+        ends = np.append(0, np.cumsum(size))
+        place = np.arange(ends[-1]) + np.repeat(self.begin[number] - ends[:-1], size)
+        packed, width = self.ids[place].tobytes(), self.dtype.itemsize
+        cuts = (ends[np.append(0, np.cumsum(counts, dtype=np.int64))] * width).tolist()
+        return [packed[first:last] for first, last in zip(cuts, cuts[1:])]
+
+
+class _Numbers(dict):
+    """Numbers of units; a new unit gets the next one."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
 
 
 class _Capacities:

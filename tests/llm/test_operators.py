@@ -116,6 +116,22 @@ def test_packing_keeps_every_token(docs, rows, empty):
     assert collected(packing.pack(empty, RANKS, public_tokenizers.PATTERN)) == []
 
 
+def test_units_are_numbered_until_the_table_is_full(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(packing, "CACHED", 100)
+    encoder = packing.Encoder(RANKS, public_tokenizers.PATTERN)
+    rng, most = random.Random(4), 0
+    for _ in range(100):
+        size = rng.randrange(6)
+        texts = ["".join(rng.choices("ab é漢😀  \n\t.,'s1", k=rng.randrange(40))) for _ in range(size)]
+        found = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode(texts)]
+        assert found == [encoder.encoding.encode_ordinary(text) for text in texts]
+        assert len(encoder.size) == len(encoder.numbers) and encoder.size.sum() == len(encoder.ids)
+        most = max(most, len(encoder.numbers))
+    assert 100 < most < 300
+
+
 def test_best_fit_takes_the_tightest_bin():
     assert packing.best_fit_decreasing([5, 7, 3, 2, 0], 10) == [[1, 2, 4], [0, 3]]
 
