@@ -129,6 +129,9 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces.append((-model.get_score(i), i, piece.replace("▁", " ")))
                 self.bytes_of[i] = pieces[-1][2].encode()
+        self.size_of = np.array([len(part) for part in self.bytes_of], np.int64)
+        self.begin_of = np.cumsum(self.size_of) - self.size_of
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         pieces.sort()
         total = sum(1.0 / (1 + rank) ** sharpness for rank in range(len(pieces) + 1))
         self.byte_weight = -sharpness * math.log(1 + len(pieces)) - math.log(total)
@@ -180,6 +183,7 @@ class Lattices:
         codes = codes.astype(np.int64)
         lengths = np.array([len(part) for part in parts], np.int64)
         ends = np.cumsum(lengths)
+        self.rooms: dict[str, np.ndarray] = {}
         unit = np.repeat(np.arange(len(parts)), lengths)
         node = np.arange(len(codes)) + unit
         left = ends[unit] - np.arange(len(codes))
@@ -256,15 +260,24 @@ class Lattices:
         self.until[last] = 2.0  # every draw ends at the last edge at the latest
 
     def followed_by(self, other: Lattices) -> Lattices:
-        """The lattices of this table, then those of another."""
+        """The lattices of this table, then those of another, until the next call.
+
+        This table is copied once, into arrays that have room for what follows it.
+        """
         both = object.__new__(Lattices)
         nodes, edges = len(self.paths), len(self.target)
-        both.first = np.append(self.first, other.first + nodes)
-        both.last = np.append(self.last, other.last + nodes)
-        both.begin = np.append(self.begin[:-1], other.begin + edges)
-        both.target = np.append(self.target, other.target + nodes)
-        for name in ("piece", "log_p", "until", "paths"):
-            setattr(both, name, np.append(getattr(self, name), getattr(other, name)))
+        more = {name: getattr(other, name) for name in ("piece", "log_p", "until", "paths")}
+        more |= {"first": other.first + nodes, "last": other.last + nodes}
+        more |= {"begin": other.begin + edges, "target": other.target + nodes}
+        for name, after in more.items():
+            mine = getattr(self, name)
+            size = len(mine) - (name == "begin")
+            room = self.rooms.get(name)
+            if room is None or len(room) < size + len(after):
+                room = self.rooms[name] = np.empty(size + 2 * len(after), mine.dtype)
+                room[:size] = mine[:size]
+            room[size : size + len(after)] = after
+            setattr(both, name, room[: size + len(after)])
         return both
 
     def walk(self, which: np.ndarray, seeds: np.ndarray) -> Walks:
@@ -652,9 +665,11 @@ def _sampled(
 
 def decoded(vocabulary: Vocabulary, ids: np.ndarray) -> str:
     """The text of some ids; the blank that encoding put before it goes."""
-    return b"".join(map(vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode(
-        "utf-8", "replace"
-    )
+    size = vocabulary.size_of[ids]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.arange(total) + np.repeat(vocabulary.begin_of[ids] - ends + size, size)
+    return vocabulary.all_bytes[place].tobytes()[1:].decode("utf-8", "replace")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

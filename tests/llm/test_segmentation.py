@@ -100,3 +100,18 @@ def test_inclusion_chances_weigh_samples_without_bias(vocabulary):
         assert abs(weighed[path] / rounds - exact[path]) < 0.05
     chance = exact[first] * exact[second] / (1 - exact[first])
     assert abs(pairs[first, second] / rounds - chance) < 0.03
+
+
+def test_kept_lattices_are_copied_once(vocabulary):
+    kept = segmentation.Lattices(vocabulary, [" the", " of"])
+    seeds = np.arange(4, dtype=np.uint64)
+    for words in ([" a", " word"], [" other", " é漢😀"], [" far more words"] * 40):
+        after = kept.followed_by(segmentation.Lattices(vocabulary, words))
+        every = segmentation.Lattices(vocabulary, [" the", " of", *words])
+        which = np.array([0, 1, 2, len(words) + 1])
+        one, two = after.walk(which, seeds), every.walk(which, seeds)
+        assert after.piece[one.edges].tolist() == every.piece[two.edges].tolist()
+        assert np.allclose(one.log_p, two.log_p) and after.last.tolist() == every.last.tolist()
+    again = kept.followed_by(segmentation.Lattices(vocabulary, [" short"]))
+    for name in ("first", "last", "begin", "target", "piece", "log_p", "until", "paths"):
+        assert np.shares_memory(getattr(after, name), getattr(again, name))
