@@ -8,6 +8,7 @@ import random
 import zlib
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -316,6 +317,48 @@ def test_blocks_of_a_key_meet_each_other(spark, monkeypatch):
     assert ordered(collected(passages.links(frame))) == expected
 
 
+def test_alike_passages_share_a_token():
+    """Versions of a passage around one minimum, of few or many different shingles."""
+    rng, passage = np.random.default_rng(6), 46
+    flat = []
+    for base in (rng.integers(0, 1 << 32, passage), rng.integers(0, 4, passage) + 7):
+        for edits in [0, 1, 3, 5, 6, 9] * 5:
+            one = base.copy()
+            one[1 + rng.permutation(passage - 1)[:edits]] = rng.integers(0, 1 << 32, edits)
+            one[0] = base[0]
+            flat.append(one)
+    rows = len(flat)
+    flat = np.concatenate(flat).astype(np.uint32)
+    offsets, lead = np.arange(rows + 1) * passage, np.zeros(rows, np.int64)
+    tokens = passages._tokens(flat, offsets, lead, np.ones(rows, bool), passage, 0.8).to_pylist()
+    sets = [set(flat[i : i + passage].tolist()) for i in offsets[:-1].tolist()]
+    pairs = list(itertools.combinations(range(rows), 2))
+    alike = [(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(alike) > 100 and all(set(tokens[a]) & set(tokens[b]) for a, b in alike)
+    alone = passages._tokens(flat, offsets, lead, np.zeros(rows, bool), passage, 0.8)
+    assert alone.to_pylist() == [[0]] * rows
+
+
+def test_unlike_passages_of_a_key_do_not_meet_block_by_block(spark, monkeypatch):
+    """A phrase in 200 unlike texts: a digest meets others by its tokens, not in all 50 blocks."""
+    rng = random.Random(4)
+    draw = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = [(i, " ".join(["so it is said that", *draw(46)])) for i in range(200)]
+    counts, run = [], passages.map_arrow
+
+    def counted(frame, function, schema):
+        if "high" in frame.columns:
+            counts.append((frame.count(), frame.select("key", "digest").distinct().count()))
+        return run(frame, function, schema)
+
+    monkeypatch.setattr(passages, "map_arrow", counted)
+    monkeypatch.setattr(passages, "_BLOCK", 4)
+    found = passages.links(spark.createDataFrame(rows, "doc_id long, text string"), hashes=16)
+    assert found.count() == 0
+    dealt, digests = map(sum, zip(*counts))
+    assert digests > 100 and dealt < 15 * digests
+
+
 def test_copies_of_a_row_are_one_document(spark, monkeypatch):
     rng = random.Random(9)
     text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
