@@ -33,6 +33,9 @@ SAMPLES = 2
 # Characters of texts whose units share one table of lattices.
 _CHUNK = 1 << 19
 
+# Chunks are of a size, and the next one takes the memory of the last.
+_TRIM_EVERY = 16
+
 # Characters of a unit; what is summed character by character is so bounded.
 LONGEST_UNIT = 1024
 
@@ -52,10 +55,13 @@ def units(text: str) -> list[str]:
     if not text:
         return []
     if text[0] != " " and not _SPACES.search(text):
-        found = [" " + word for word in text.split(" ")]
+        if "\0" in text:
+            found = [" " + word for word in text.split(" ")]
+        else:
+            found = (" " + text.replace(" ", "\0 ")).split("\0")
     else:
         found = re.split(r"(?<=\S)(?= )", " " + text)
-    if max(map(len, found)) <= LONGEST_UNIT:
+    if len(text) < LONGEST_UNIT or max(map(len, found)) <= LONGEST_UNIT:
         return found
     return [
         unit[at : at + LONGEST_UNIT]
@@ -417,8 +423,8 @@ def _rest(below: np.ndarray, paths: np.ndarray) -> np.ndarray:
     return np.where(paths > 1, found, -np.inf)
 
 
-def _bounded_gumbel(place: np.ndarray, bound: float, draw: np.ndarray) -> np.ndarray:
-    """A Gumbel variable at ``place``, given that it is below ``bound``."""
+def _bounded_gumbel(place: np.ndarray, bound: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """Gumbel variables at ``place``, given that each is below its ``bound``."""
     return place - np.log(np.exp(np.minimum(place - bound, 700.0)) - np.log(draw))
 
 
@@ -439,12 +445,13 @@ class _Chain:
 class _Search:
     """The search over the segmentations of one text; units are numbers of lattices."""
 
-    def __init__(self, lattices: Lattices, which: np.ndarray, seed: int, samples: int):
+    def __init__(
+        self, lattices: Lattices, which: np.ndarray, seed: int, samples: int, draw: float
+    ):
         self.lattices, self.which, self.samples = lattices, which, samples
         self.seed = np.uint64(seed)
         self.chains: list[_Chain] = []
         self.heap: list[tuple[float, int, int]] = []
-        draw = _uniform(_seeds(np.array([self.seed]), 0, np.array([0]), 1))[0]
         self.top = -math.log(-math.log(draw))
 
     def edges(self, chain: int, unit: int) -> tuple[int, ...]:
@@ -470,29 +477,6 @@ class _Search:
             parts.append(one.walks.edges[begin:end])
         return parts
 
-    def add(self, chain: _Chain) -> None:
-        """Take a leaf, and put the branches beside its path on the heap."""
-        number = len(self.chains)
-        self.chains.append(chain)
-        if not len(self.which):
-            return
-        first = self.lattices.first[self.which[chain.start :]]
-        paths = self.lattices.paths[first].copy()
-        used = chain.log_p[chain.start :].copy()
-        if chain.parent >= 0:
-            gone = [sum(self.lattices.log_p[e] for e in path) for path in chain.taken]
-            used[0] = np.logaddexp.reduce(gone)
-            paths[0] -= len(chain.taken) - 1
-        before = np.cumsum(chain.log_p) - chain.log_p
-        place = before[chain.start :] + _rest(used, paths)
-        draw = _uniform(
-            _seeds(np.array([self.seed]), number, np.arange(chain.start, len(self.which)), 2)
-        )
-        value = _bounded_gumbel(place, chain.value, draw)
-        best = np.argsort(-value, kind="stable")[: self.samples + 1]
-        for i in best[np.isfinite(value[best])].tolist():
-            heapq.heappush(self.heap, (-float(value[i]), number, chain.start + i))
-
     def branch(self) -> tuple[float, int, int] | None:
         """The best open branch: value, chain, unit."""
         if not self.heap:
@@ -523,19 +507,59 @@ def _walk_all(lattices: Lattices, searches: list, starts: list[int], sample: int
     """Paths for the units of each search from its start on, drawn together."""
     which = [s.which[start:] for s, start in zip(searches, starts)]
     counts = [len(part) for part in which]
-    seeds = [
-        _seeds(np.full(len(part), s.seed), sample, np.arange(start, start + len(part)), 0)
-        for s, start, part in zip(searches, starts, which)
-    ]
     if not sum(counts):
         return [(None, 0, np.zeros(0))] * len(searches)
-    walks = lattices.walk(np.concatenate(which), np.concatenate(seeds))
-    rows = np.cumsum(counts) - counts
+    seed, place, rows = _places(searches, starts, counts)
+    walks = lattices.walk(np.concatenate(which), _seeds(seed, sample, place, 0))
     return [
-        (walks, int(row), walks.log_p[row : row + count]) for row, count in zip(rows, counts)
+        (walks, row, walks.log_p[row : row + count]) for row, count in zip(rows.tolist(), counts)
     ]
 
 
+def _places(
+    searches: list[_Search], starts: list[int], counts: list[int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seed of each search and its units from a start on, end to end; and where they begin."""
+    begin = np.cumsum(counts) - counts
+    seed = np.repeat(np.array([s.seed for s in searches], np.uint64), counts)
+    place = np.arange(len(seed)) + np.repeat(np.array(starts, np.int64) - begin, counts)
+    return seed, place, begin
+
+
+def _add_all(lattices: Lattices, searches: list[_Search], chains: list[_Chain], sample: int) -> None:
+    """Take a leaf of each search, the ``sample``-th, and put the branches beside its path on the
+    heap."""
+    for s, chain in zip(searches, chains):
+        s.chains.append(chain)
+    some = [(s, chain) for s, chain in zip(searches, chains) if len(s.which)]
+    if not some:
+        return
+    starts = [chain.start for _, chain in some]
+    counts = [len(s.which) - start for (s, _), start in zip(some, starts)]
+    seed, at, begin = _places([s for s, _ in some], starts, counts)
+    which = np.concatenate([s.which[start:] for (s, _), start in zip(some, starts)])
+    paths = lattices.paths[lattices.first[which]]
+    used = np.concatenate([chain.log_p[chain.start :] for _, chain in some])
+    before = np.concatenate(
+        [(np.cumsum(chain.log_p) - chain.log_p)[chain.start :] for _, chain in some]
+    )
+    for (_, chain), first in zip(some, begin.tolist()):
+        if chain.parent >= 0:
+            gone = [sum(lattices.log_p[e] for e in path) for path in chain.taken]
+            used[first] = np.logaddexp.reduce(gone)
+            paths[first] -= len(chain.taken) - 1
+    bound = np.repeat(np.array([chain.value for _, chain in some]), counts)
+    draw = _uniform(_seeds(seed, sample, at, 2))
+    value = _bounded_gumbel(before + _rest(used, paths), bound, draw)
+    for (s, _), start, first, count in zip(some, starts, begin.tolist(), counts):
+        mine = value[first : first + count]
+        most = s.samples + 1
+        best = np.argpartition(mine, count - most)[-most:] if count > most else range(count)
+        for i in best:
+            if math.isfinite(mine[i]):
+                heapq.heappush(s.heap, (-float(mine[i]), sample, start + int(i)))
+
+
 def sample_texts(
     vocabulary: Vocabulary, texts: list[str], seeds: list[int], samples: int
 ) -> Iterator[tuple[int, int, float, float, float, np.ndarray]]:
@@ -543,13 +567,18 @@ def sample_texts(
     numbers = _Numbers(vocabulary.kept.numbers)
     parts = [list(map(numbers.__getitem__, units(text))) for text in texts]
     lattices = vocabulary.kept.table(vocabulary, numbers)
+    keys = np.array([seed & _MASK for seed in seeds], np.uint64)
+    draws = _uniform(_seeds(keys, 0, np.zeros(len(keys), np.int64), 1)).tolist()
     searches = [
-        _Search(lattices, np.array(part, np.int64), seed & _MASK, samples)
-        for part, seed in zip(parts, seeds)
+        _Search(lattices, np.array(part, np.int64), seed & _MASK, samples, draw)
+        for part, seed, draw in zip(parts, seeds, draws)
     ]
     drawn = _walk_all(lattices, searches, [0] * len(searches), 0)
-    for search, (walks, row, log_p) in zip(searches, drawn):
-        search.add(_Chain(search.top, -1, 0, (), walks, row, log_p, []))
+    firsts = [
+        _Chain(search.top, -1, 0, (), walks, row, log_p, [])
+        for search, (walks, row, log_p) in zip(searches, drawn)
+    ]
+    _add_all(lattices, searches, firsts, 0)
     for sample in range(1, samples):
         open_ = [(s, s.branch()) for s in searches if len(s.chains) == sample]
         open_ = [(s, found) for s, found in open_ if found]
@@ -557,12 +586,14 @@ def sample_texts(
         drawn = _walk_all(
             lattices, [s for s, _ in open_], [unit + 1 for _, (_, _, unit) in open_], sample
         )
+        more = []
         for (s, (value, chain, unit)), (path, log_p, taken), (walks, row, rest) in zip(
             open_, steps, drawn
         ):
             old = s.chains[chain].log_p[:unit]
             every = np.concatenate([old, [log_p], rest])
-            s.add(_Chain(value, chain, unit, path, walks, row, every, taken))
+            more.append(_Chain(value, chain, unit, path, walks, row, every, taken))
+        _add_all(lattices, [s for s, _ in open_], more, sample)
     for number, search in enumerate(searches):
         bound = search.bound()
         for rank, chain in enumerate(search.chains):
@@ -622,7 +653,9 @@ def encode(
             yield {**columns, "ids": [part.astype("<i4").tobytes() for part in pieces]}
 
     schema = f"{_SAMPLE}, ids binary"
-    return map_batches(_seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness))
+    return map_batches(
+        _seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness), _TRIM_EVERY
+    )
 
 
 _SAMPLE = (
@@ -716,5 +749,5 @@ def digests(
 
     schema = f"{_SAMPLE}, ids binary, ids_sha256 string, round_trip boolean"
     return map_batches(
-        _seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness)
+        _seeded(docs), batch, schema, lambda: Vocabulary(model, sharpness), _TRIM_EVERY
     ).drop("tag")

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import re
 import time
 
 import numpy as np
@@ -115,3 +116,24 @@ def test_kept_lattices_are_copied_once(vocabulary):
     again = kept.followed_by(segmentation.Lattices(vocabulary, [" short"]))
     for name in ("first", "last", "begin", "target", "piece", "log_p", "until", "paths"):
         assert np.shares_memory(getattr(after, name), getattr(again, name))
+
+
+def test_units_with_and_without_null_characters():
+    for text in ("a bc d", "a\0b c", "ab", "a  b \0", "x" * 1023 + " y", "\ta b"):
+        found = segmentation.units(text)
+        assert "".join(found) == " " + text and all(found)
+        assert found == re.split(r"(?<=\S)(?= )", " " + text)
+
+
+def test_texts_of_a_chunk_are_sampled_together(vocabulary, monkeypatch):
+    """Draws and bounds are made once a round for a chunk, not once a text, and depend on no other."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("the reading of été 中文 x1".split()) for _ in range(n)) for n in range(40)]
+    calls, uniform = [], segmentation._uniform
+    monkeypatch.setattr(segmentation, "_uniform", lambda x: calls.append(len(x)) or uniform(x))
+    monkeypatch.setattr(segmentation._Search, "sidestep", None)
+    found = samples_of(vocabulary, texts, list(range(40)), 1)
+    assert len(found) == 40 and len(calls) < 3 + 60
+    assert found == [
+        (i, *one[1:]) for i, text in enumerate(texts) for one in samples_of(vocabulary, [text], [i], 1)
+    ]
