@@ -359,6 +359,30 @@ def test_unlike_passages_of_a_key_do_not_meet_block_by_block(spark, monkeypatch)
     assert digests > 100 and dealt < 15 * digests
 
 
+def test_unlike_passages_with_a_line_in_common_do_not_meet(spark, monkeypatch):
+    """A line of 14 words in 100 unlike texts: its shingles bring no two of them together."""
+    rng = random.Random(7)
+    draw = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    line = draw(14)
+    rows = [(i, " ".join([*draw(45), *line, *draw(45)])) for i in range(100)]
+    counts, run = [], passages.map_arrow
+
+    def counted(frame, function, schema):
+        if "high" in frame.columns:
+            groups = frame.groupBy("key", "token", "low", "high").count()
+            pairs = groups.selectExpr("coalesce(sum(count * (count - 1) / 2), 0)").first()[0]
+            counts.append((pairs, frame.select("key", "digest").distinct().count()))
+        return run(frame, function, schema)
+
+    monkeypatch.setattr(passages, "map_arrow", counted)
+    monkeypatch.setattr(passages, "_BLOCK", 16)
+    monkeypatch.setattr(passages, "_FEW", 4, raising=False)
+    found = passages.links(spark.createDataFrame(rows, "doc_id long, text string"), hashes=16)
+    assert found.count() == 0
+    pairs, digests = map(sum, zip(*counts))
+    assert digests > 300 and pairs < 2 * digests
+
+
 def test_copies_of_a_row_are_one_document(spark, monkeypatch):
     rng = random.Random(9)
     text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
