@@ -282,6 +282,46 @@ def test_passages_are_compared_where_they_align(short_passages):
     assert len({r._id // 2 for r in found}) >= 0.9 * len(texts) / 2
 
 
+def test_like_passages_at_unlike_distances_from_their_minimum_are_found(spark):
+    """Texts of 50 words, the second with a word more at its beginning and one less at its end:
+    both have one passage, and these lie on each other under no minimum."""
+    rng, texts = random.Random(8), []
+    for i in range(40):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(50)]
+        texts += [words, [f"x{i}", *words[:-1]]]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.n_shared, r.class_id) for r in passages.near_passages(frame).collect()}
+    assert found == {(i, 50, i - i % 2) for i in range(80)}
+
+
+def test_passages_are_found_wherever_they_stand(spark, monkeypatch):
+    """Parts of one text that begin at eight places of it, with one of their first 20 words edited:
+    every two that have alike passages are linked, in whatever blocks their key is dealt."""
+    rng = random.Random(11)
+    base, texts = [f"w{rng.randrange(10**9)}" for _ in range(60)], []
+    for i in range(24):
+        words = base[i % 8 : i % 8 + 50 + i % 3]
+        words[rng.randrange(20)] = f"e{i}"
+        texts.append(words)
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    sets = [
+        [{tuple(words[s : s + 5]) for s in range(i, i + 46)} for i in range(len(words) - 49)]
+        for words in texts
+    ]
+    alike = {
+        (a, b) for a, b in itertools.combinations(range(24), 2)
+        if any(len(x & y) >= 0.8 * len(x | y) for x in sets[a] for y in sets[b])
+    }
+    linked = []
+    for block in (passages._BLOCK, 4):
+        monkeypatch.setattr(passages, "_BLOCK", block)
+        found = passages.links(frame, hashes=16).collect()
+        linked.append({tuple(sorted((r._id, r.to_id))) for r in found if r._id != r.to_id})
+    assert linked[0] == linked[1] and len(alike) > 10
+    assert linked[0] <= alike and len(linked[0]) >= 0.95 * len(alike)
+
+
 def test_like_passages_of_one_key_are_all_compared(spark):
     """Chains of texts, each a word from the next: no text is like all others of its chain."""
     rng, texts = random.Random(1), []
