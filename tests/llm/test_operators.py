@@ -295,6 +295,19 @@ def test_like_passages_at_unlike_distances_from_their_minimum_are_found(spark):
     assert found == {(i, 50, i - i % 2) for i in range(80)}
 
 
+def test_overlapping_passages_of_a_text_are_not_like_each_other(spark):
+    """A shingle that stands twice in a text: passages before and after it overlap."""
+    rng = random.Random(13)
+    draw = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for i in range(30):
+        twice = draw(5)
+        rows.append((i, " ".join([*draw(20), *twice, *draw(15), *twice, *draw(45)])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.near_passages(frame, hashes=16).collect()
+    assert {(r.n_shared, r.n_links) for r in found} == {(0, 0)}
+
+
 def test_passages_are_found_wherever_they_stand(spark, monkeypatch):
     """Parts of one text that begin at eight places of it, with one of their first 20 words edited:
     every two that have alike passages are linked, in whatever blocks their key is dealt."""
